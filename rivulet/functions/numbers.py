@@ -13,23 +13,31 @@ _SPECIAL = r"(?i)^\s*[+-]?(nan|inf|infinity)\s*$"
 _DIGITS = r"^[+\-\s]?\d+$"
 
 
+_BLANKS = " \t\n\r\x0b\f"
+
+
+def _bare(text: Column, dropped: str) -> Column:
+    """Text without the given characters; blanks can only surround a number."""
+    return F.translate(text, _BLANKS + dropped, "")
+
+
 def _float(text: Column) -> Column:
-    bare = F.regexp_replace(F.lower(F.trim(text)), "_", "")
-    number = F.when(text.rlike(_FLOAT), bare.try_cast("double"))
-    unsigned = F.regexp_replace(bare, r"^[+-]", "")
-    special = F.when(unsigned == "nan", F.lit(float("nan"))).when(
-        bare.startswith("-"), F.lit(float("-inf"))
-    ).otherwise(F.lit(float("inf")))
-    return F.when(text.rlike(_SPECIAL), special).otherwise(number)
+    word = F.lower(_bare(text, "+"))
+    special = (
+        F.when(word.endswith("nan"), F.lit(float("nan")))
+        .when(word.startswith("-"), F.lit(float("-inf")))
+        .otherwise(F.lit(float("inf")))
+    )
+    return F.when(text.rlike(_FLOAT), _bare(text, "_").try_cast("double")).when(
+        text.rlike(_SPECIAL), special
+    )
 
 
 def to_int(value: Column, default: int | None = None) -> Column:
     """BIGINT from text; surrounding blanks are fine, `2.0` and `` give the default."""
     text = value.cast("string")
-    digits = F.regexp_replace(F.regexp_replace(text, r"\s", ""), "_", "")
-    return F.coalesce(
-        F.when(text.rlike(_INT), digits.try_cast("bigint")), F.lit(default).cast("bigint")
-    )
+    number = F.when(text.rlike(_INT), _bare(text, "_").try_cast("bigint"))
+    return F.coalesce(number, F.lit(default).cast("bigint"))
 
 
 def to_float(value: Column, default: float | None = None) -> Column:
@@ -46,7 +54,7 @@ def to_number(value: Column, default: float | None = None) -> Column:
     """
     text = value.cast("string")
     is_int = F.coalesce(text.rlike(_DIGITS), F.lit(False))
-    whole = F.regexp_replace(text, r"[\s+]", "")
+    whole = _bare(text, "+")
     number = (
         F.when(is_int, whole.try_cast("double"))
         .when(text.contains("."), _float(text))

@@ -39,25 +39,24 @@ def row_changes_as_documents(routed: DataFrame, keys: list[str], seq: Column) ->
     )
 
 
-def document_fields(changes: DataFrame) -> DataFrame:
-    """Latest value per (_id, field) as (_id, field, value, seq).
-
-    A row without a field name carries each document's own last touch. Values combine
-    before the shuffle, so a document with very many changes costs no more than others.
-    """
-    touched = changes.where(F.col("op") != "delete")
-    own = F.create_map(F.lit(""), F.lit(None).cast("string"))
-    # Field names get a prefix, so that a field named "" stays apart from the touch row.
-    named = F.transform_keys(F.coalesce("doc", F.create_map().cast("map<string,string>")),
-                             lambda k, _: F.concat(F.lit("."), k))
-    flat = touched.select("_id", "seq", F.explode(F.map_concat(own, named)).alias("_f", "value"))
-    newest = flat.groupBy("_id", "_f").agg(
+# Entries beside a document's fields. Field names get the prefix `.`.
+_TOUCH, _DELETE = "touch", "delete"
+
+
+def _newest_entries(changes: DataFrame) -> DataFrame:
+    """(_id, _f, value, seq): the newest value of every field, touch and delete of a
+    document. They combine before the shuffle, so a document with very many changes costs
+    no more than others."""
+    empty = F.create_map().cast("map<string,string>")
+    named = F.transform_keys(F.coalesce("doc", empty), lambda k, _: F.concat(F.lit("."), k))
+    nothing = F.lit(None).cast("string")
+    entries = F.when(
+        F.col("op") == "delete", F.create_map(F.lit(_DELETE), nothing)
+    ).otherwise(F.map_concat(F.create_map(F.lit(_TOUCH), nothing), named))
+    flat = changes.select("_id", "seq", F.explode(entries).alias("_f", "value"))
+    return flat.groupBy("_id", "_f").agg(
         F.max_by("value", "seq").alias("value"), F.max("seq").alias("seq")
     )
-    return newest.select(
-        "_id", F.when(F.col("_f") != "", F.substring("_f", 2, 2**31 - 1)).alias("field"),
-        "value", "seq"
-    )
 
 
 def document_deltas(changes: DataFrame) -> DataFrame:
@@ -66,18 +65,19 @@ def document_deltas(changes: DataFrame) -> DataFrame:
     `deleted` tells that earlier content is gone, `alive` that the log leaves a document,
     and `fields` are the fields set after the last delete.
     """
-    fields = document_fields(changes).withColumn("_dead", F.lit(None).cast("bigint"))
-    deletes = (
-        changes.where(F.col("op") == "delete").groupBy("_id").agg(F.max("seq").alias("_dead"))
+    name = F.col("_f")
+    field = F.when(
+        name.startswith("."),
+        F.struct(F.substring(name, 2, 2**31 - 1).alias("field"), "value", "seq"),
     )
-    both = fields.unionByName(deletes, allowMissingColumns=True)
     # One row per field of the document: the group is as wide as the document.
-    entry = F.when(F.col("field").isNotNull(), F.struct("field", "value", "seq"))
-    per_id = both.groupBy("_id").agg(
-        F.max("_dead").alias("_dead"), F.max("seq").alias("_seq"), F.collect_list(entry).alias("_f")
+    per_id = _newest_entries(changes).groupBy("_id").agg(
+        F.max(F.when(name == _DELETE, F.col("seq"))).alias("_dead"),
+        F.max(F.when(name == _TOUCH, F.col("seq"))).alias("_seq"),
+        F.collect_list(field).alias("_fields"),
     )
     since = F.coalesce(F.col("_dead"), F.lit(-(2**63)).cast("bigint"))
-    kept = F.filter("_f", lambda f: f["seq"] > since)
+    kept = F.filter("_fields", lambda f: f["seq"] > since)
     pairs = F.transform(kept, lambda f: F.struct(f["field"], f["value"]))
     return per_id.select(
         "_id",

@@ -20,7 +20,6 @@ from rivulet.operators.ordered import (
     SLICE,
     HotGroups,
     hot_groups,
-    join_on_keys,
     running,
     slice_groups,
 )
@@ -115,20 +114,6 @@ def apply_replace(
     return untouched.select(*live.columns).unionByName(live)
 
 
-def _join_per_key(log: DataFrame, per_key: DataFrame, keys: list[str], cap: int) -> DataFrame:
-    """Left join of a log with one row per key; keys above `cap` rows are broadcast."""
-    hot = hot_groups(log, keys, cap)
-    if hot is None or hot.groups > BROADCAST_ROWS:
-        return join_on_keys(log, per_key, keys)
-    flags = F.broadcast(hot.frame)
-    cold_rows = log.join(flags, keys, "left_anti")
-    hot_rows = log.join(flags, keys, "left_semi")
-    hot_side = F.broadcast(per_key.join(flags, keys, "left_semi"))
-    return join_on_keys(cold_rows, per_key, keys).unionByName(
-        join_on_keys(hot_rows, hot_side, keys)
-    )
-
-
 def apply_ignore(
     base: DataFrame | None,
     changes: DataFrame,
@@ -138,39 +123,33 @@ def apply_ignore(
 ) -> DataFrame:
     """An insert on a live key is ignored; updates and deletes act on the key.
 
-    Everything follows from three values per key: the last delete, the first insert after
-    it, and the last update. Only the second needs another look at the log.
+    An insert takes effect if the insert or delete before it was a delete, or there was
+    none. The row then follows from three values per key: the last delete, the last
+    insert that took effect, and the last update.
     """
-    log = _keyed(_drop_deletes(changes, dmode), keys)
-    is_op = lambda name: F.col("op") == name
-    ends = log.groupBy(*keys).agg(
-        F.max(F.when(is_op("delete"), F.col("seq"))).alias("_dead"),
-        F.max(F.when(is_op("update"), F.col("seq"))).alias("_useq"),
-        F.max_by(F.when(is_op("update"), F.col("row")), F.when(is_op("update"), F.col("seq"))).alias(
-            "_urow"
-        ),
-    )
-    inserts = log.where(is_op("insert")).select(*keys, "seq", "row")
-    after = _join_per_key(inserts, ends.select(*keys, "_dead"), keys, cap).where(
-        F.col("_dead").isNull() | (F.col("seq") > F.col("_dead"))
-    )
-    first = after.groupBy(*keys).agg(
-        F.min("seq").alias("_iseq"), F.min_by("row", "seq").alias("_irow")
-    )
-    merged = join_on_keys(ends, first, keys)
-    reborn = F.when(
-        F.col("_iseq").isNotNull(),
-        F.when(F.col("_useq") > F.col("_iseq"), F.col("_urow")).otherwise(F.col("_irow")),
+    log = _keyed(_drop_deletes(changes, dmode), keys).select(*keys, "seq", "op", "row")
+    op, seq = F.col("op"), F.col("seq")
+    is_delete = op == "delete"
+    mark = F.when(op.isin("insert", "delete"), F.struct("seq", is_delete.alias("dead")))
+    marked = running(log, keys, "seq", {"_before": ("max", mark)}, cap=cap)
+    born = (op == "insert") & F.coalesce(F.col("_before")["dead"], F.lit(True))
+    image = F.struct("seq", "row")
+    per_key = marked.groupBy(*keys).agg(
+        F.max(F.when(is_delete, seq)).alias("_dead"),
+        F.max_by(F.when(born, image), F.when(born, seq)).alias("_i"),
+        F.max_by(F.when(op == "update", image), F.when(op == "update", seq)).alias("_u"),
     )
+    alive = F.col("_i.seq").isNotNull() & (F.col("_dead").isNull() | (F.col("_i.seq") > F.col("_dead")))
+    newest = F.when(F.col("_u.seq") > F.col("_i.seq"), F.col("_u.row")).otherwise(F.col("_i.row"))
+    reborn = F.when(alive, newest)
     if base is None:
-        done = merged.select(reborn.alias("_row"))
+        done = per_key.select(reborn.alias("_row"))
     else:
-        columns = _columns(changes)
-        kept = base.select(*keys, F.struct(*columns).alias("_base"))
-        both = kept.join(merged, keys, "full")
+        held = F.struct(*_columns(changes)).cast(changes.schema["row"].dataType)
+        both = base.select(*keys, held.alias("_base")).join(per_key, keys, "full")
         never_dead = F.col("_base").isNotNull() & F.col("_dead").isNull()
         done = both.select(
-            F.when(never_dead, F.coalesce("_urow", "_base")).otherwise(reborn).alias("_row")
+            F.when(never_dead, F.coalesce("_u.row", "_base")).otherwise(reborn).alias("_row")
         )
     return done.where(F.col("_row").isNotNull()).select("_row.*")
 

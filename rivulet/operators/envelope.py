@@ -194,19 +194,28 @@ def snapshot_messages(df: DataFrame, database: str, table: str, ts: int) -> Data
     return ends.unionByName(rows)
 
 
-def _json_text(df: DataFrame) -> Column:
-    return F.col("value").cast("string")
+def _parse(messages: DataFrame, schema: str, fields: list[str] | None) -> DataFrame:
+    """Message columns with the prefix `m_`, then the fields of the JSON value.
+
+    The value is parsed in a generator, because a later filter on a parsed field would
+    otherwise be pushed below the parsing and parse every message a second time.
+    """
+    kept = [F.col(c).alias(f"m_{c}") for c in messages.columns if c != "value"]
+    wanted = T.StructType.fromDDL(schema)
+    if fields is not None:
+        wanted = T.StructType([f for f in wanted.fields if f.name in fields])
+    envelope = F.from_json(F.col("value").cast("string"), wanted)
+    return messages.select(*kept, F.inline(F.array(envelope)))
 
 
-def decode_rows(messages: DataFrame) -> DataFrame:
+def decode_rows(messages: DataFrame, fields: list[str] | None = None) -> DataFrame:
     """Relational envelopes of messages (works on streams).
 
     Message columns other than `value` are kept with the prefix `m_`; malformed text
-    gives an envelope without a type.
+    gives an envelope without a type. Naming the `fields` that are needed saves parsing
+    the others.
     """
-    kept = [F.col(c).alias(f"m_{c}") for c in messages.columns if c != "value"]
-    parsed = messages.select(*kept, F.from_json(_json_text(messages), ROW_ENVELOPE).alias("_e"))
-    return parsed.select(*[c for c in parsed.columns if c != "_e"], "_e.*")
+    return _parse(messages, ROW_ENVELOPE, fields)
 
 
 def document_id(key: Column) -> Column:
@@ -218,14 +227,13 @@ def document_id(key: Column) -> Column:
 def decode_documents(messages: DataFrame) -> DataFrame:
     """Document envelopes of messages (works on streams), with both key forms as `_id`
     and the cluster time as STRUCT<time, inc>."""
-    kept = [F.col(c).alias(f"m_{c}") for c in messages.columns if c != "value"]
-    parsed = messages.select(*kept, F.from_json(_json_text(messages), DOC_WIRE).alias("_e"))
+    parsed = _parse(messages, DOC_WIRE, None)
     return parsed.select(
-        *[c for c in parsed.columns if c != "_e"],
-        F.col("_e.operationType").alias("operationType"),
-        F.col("_e.ns").alias("ns"),
-        F.col("_e.topic").alias("topic"),
-        cluster_time(F.col("_e.clusterTime")).alias("clusterTime"),
-        document_id(F.col("_e.documentKey")).alias("_id"),
-        F.col("_e.fullDocument").alias("fullDocument"),
+        *[c for c in parsed.columns if c.startswith("m_")],
+        "operationType",
+        "ns",
+        "topic",
+        cluster_time(F.col("clusterTime")).alias("clusterTime"),
+        document_id(F.col("documentKey")).alias("_id"),
+        "fullDocument",
     )

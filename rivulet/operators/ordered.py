@@ -50,7 +50,10 @@ class HotGroups:
 
 
 def hot_groups(df: DataFrame, keys: list[str], cap: int = GROUP_CAP) -> HotGroups | None:
-    """Groups of more than `cap` rows, or None; only the key columns are read."""
+    """Groups of more than `cap` rows, or None; only the key columns are read.
+
+    The counts combine before the shuffle, so finding a hot group is not slowed by it.
+    """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > cap)
     groups, rows = sizes.agg(F.count(F.lit(1)), F.sum("_n")).first()
     if not groups:
@@ -131,9 +134,8 @@ def running(
     check_batch(df, "a running aggregate")
     cut = sliced or slice_groups(df, keys, seq, cap)
     last = Window.currentRow if inclusive else -1
-    local = (
-        Window.partitionBy(*keys, SLICE).orderBy(seq).rowsBetween(Window.unboundedPreceding, last)
-    )
+    by = [*keys, SLICE] if cut.hot else keys
+    local = Window.partitionBy(*by).orderBy(seq).rowsBetween(Window.unboundedPreceding, last)
     fns = {"max": F.max, "sum": F.sum}
     if not cut.hot:
         plain = cut.frame

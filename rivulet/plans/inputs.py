@@ -18,8 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def epoch_seconds(value: Column) -> Column:
     """Whole seconds since 1970 of a zone-less timestamp."""
-    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), value)
-    return F.floor(micros / 1_000_000).cast("bigint")
+    since = value - F.lit("1970-01-01").cast("timestamp_ntz")
+    return since.cast("interval second").cast("bigint")
 
 
 def change_type() -> Column:

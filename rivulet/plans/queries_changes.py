@@ -39,6 +39,7 @@ from rivulet.plans.inputs import (
     table,
 )
 from rivulet.plans.registry import query
+from rivulet.util import stage
 
 # --- gates ---------------------------------------------------------------------------
 
@@ -127,7 +128,7 @@ def _executed(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = _transactions(spark, sf_dir)
     end = log.agg(F.max("gno") * 4 / 5).scalar()
     early = (F.col("gno") < end) & ~((F.col("sid") == "sid1") & (F.col("event_type") == "click"))
-    return gtid.compact(log.where(early | (F.col("sid") == "sid2")))
+    return stage(gtid.compact(log.where(early | (F.col("sid") == "sid2"))), "executed")
 
 
 _TX = """tx as (select event_id as seq, 'sid' || (user_id % 3) as sid, event_id as gno,

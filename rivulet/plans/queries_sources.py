@@ -240,7 +240,8 @@ select case when type = 'replace' and seq % 10 = 0 then 'malformed'
 from log group by 1"""
 )
 def route_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    routed = routing.route_rows(envelope.decode_rows(account_messages(spark, sf_dir)))
+    got = envelope.decode_rows(account_messages(spark, sf_dir), ["type"])
+    routed = routing.route_rows(got)
     return routed.groupBy("action").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -36,15 +36,8 @@ def _save_progress(store: BatchStore | None, batch: DataFrame, batch_id: int) ->
 def _start(
     messages: DataFrame, on_batch: Callable[[DataFrame, int], None], checkpoint: str
 ) -> StreamingQuery:
-    def guarded(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            on_batch(batch, batch_id)
-        finally:
-            batch.unpersist()
-
     return (
-        messages.writeStream.foreachBatch(guarded)
+        messages.writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -72,16 +65,20 @@ def apply_rows_stream(
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         envelopes = decode_rows(batch)
         routed = route_rows(repair(envelopes) if repair else envelopes)
-        changes = changes_from(routed, columns, order)
+        # Kept, so that messages are parsed once; lost blocks are parsed again.
+        changes = changes_from(routed, columns, order).persist()
         touched = changes.select(*[F.col("row")[k].alias(k) for k in target.keys])
         if modes.match == "row":
             moved = changes.where(F.col("old").isNotNull())
             touched = touched.unionByName(
                 moved.select(*[F.col("old")[k].alias(k) for k in target.keys])
             )
-        target.apply(
-            batch_id, touched, lambda base: apply_changes(base, changes, target.keys, modes)
-        )
+        try:
+            target.apply(
+                batch_id, touched, lambda base: apply_changes(base, changes, target.keys, modes)
+            )
+        finally:
+            changes.unpersist()
         _save_progress(progress, batch, batch_id)
 
     return _start(messages, on_batch, checkpoint)
@@ -98,8 +95,13 @@ def apply_documents_stream(
     order = F.col("m_offset") if seq is None else seq
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        changes = document_changes(route_documents(decode_documents(batch)), order)
-        target.apply(batch_id, changes.select("_id"), lambda base: apply_documents(base, changes))
+        changes = document_changes(route_documents(decode_documents(batch)), order).persist()
+        try:
+            target.apply(
+                batch_id, changes.select("_id"), lambda base: apply_documents(base, changes)
+            )
+        finally:
+            changes.unpersist()
         _save_progress(progress, batch, batch_id)
 
     return _start(messages, on_batch, checkpoint)
