@@ -360,17 +360,19 @@ def _reachable(entries: DataFrame, start: DataFrame, keys: list[str]) -> DataFra
     return special.unionByName(rows.join(states, [*keys, "need"], "left_semi"))
 
 
-def _advance(state: DataFrame, entries: DataFrame, keys: list[str], small: bool) -> DataFrame:
+def _advance(state: DataFrame, entries: DataFrame, keys: list[str]) -> DataFrame:
     """Send each key's state (keys…, value, value_seq) through one function per key."""
-    hint = F.broadcast if small else (lambda df: df)
+    moves = entries.select(*[F.col(k).alias(f"_e_{k}") for k in keys], "need", "give", "give_seq")
+    same = F.lit(True)
+    for key in keys:
+        same = same & (F.col(key) == F.col(f"_e_{key}"))
     live = ~F.col("value").isin(_ABSENT, _ERROR)
     exact = F.col("need") == F.col("value")
-    hits = entries.join(hint(state), keys).where(exact | (live & (F.col("need") == _ANY_LIVE)))
-    best = hits.groupBy(*keys).agg(
+    hits = state.join(moves, same & (exact | (live & (F.col("need") == _ANY_LIVE))), "left")
+    best = hits.groupBy(*keys, "value", "value_seq").agg(
         F.max_by(F.struct("give", "give_seq"), exact.cast("int")).alias("_to")
     )
-    joined = state.join(hint(best), keys, "left")
-    return joined.select(
+    return best.select(
         *keys,
         F.coalesce("_to.give", "value").alias("value"),
         F.when(F.col("_to").isNull(), F.col("value_seq"))
@@ -379,6 +381,21 @@ def _advance(state: DataFrame, entries: DataFrame, keys: list[str], small: bool)
     )
 
 
+# Slices a state is sent through before it is written down.
+_STEPS = 8
+
+
+def _walk(state: DataFrame, parts: DataFrame, keys: list[str]) -> DataFrame:
+    """Send each key's state through its slices one after the other. A slice holds at most
+    the cap of entries per key, and there are at most MAX_SLICES of them."""
+    slices = [r[0] for r in parts.select("at").distinct().orderBy("at").collect()]
+    for i, at in enumerate(slices, 1):
+        state = _advance(state, parts.where(F.col("at") == at), keys)
+        if i % _STEPS == 0:
+            state = stage(state, "hot-state")
+    return state
+
+
 def _replay_hot(
     base: DataFrame | None,
     log: DataFrame,
@@ -408,16 +425,14 @@ def _replay_hot(
     while True:
         cut = slice_groups(entries, keys, "at", cap)
         if not cut.hot:
-            state = _advance(state, _compose_groups(entries, keys, None), keys, small)
+            state = _advance(state, _compose_groups(entries, keys, None), keys)
             break
         parts = stage(_compose_groups(cut.frame, keys, SLICE), "hot-slices")
         parts = stage(_reachable(parts, state, keys), "hot-reachable")
         before, size = size or entries.count(), parts.count()
         if size * 2 > before:
             # The log jumps back and forth so much that composing does not shrink it.
-            slices = [r[0] for r in parts.select("at").distinct().orderBy("at").toLocalIterator()]
-            for at in slices:
-                state = stage(_advance(state, parts.where(F.col("at") == at), keys, small), "hot-state")
+            state = _walk(state, parts, keys)
             break
         entries = parts
     state = stage(state, "hot-state")
