@@ -26,8 +26,10 @@ from rivulet.operators.ordered import (
 from rivulet.operators.routing import overlay, project
 from rivulet.util import stage
 
-# Changes of one key that may be gathered in one array.
+# Changes of one key that may be gathered in one array, and the most slices that the log
+# of larger keys is cut into.
 FOLD_CAP = 100_000
+FOLD_SLICES = 200_000
 
 _BASE_SEQ = -(2**62)
 
@@ -104,9 +106,15 @@ def latest_changes(changes: DataFrame, keys: list[str]) -> DataFrame:
 def apply_replace(
     base: DataFrame | None, changes: DataFrame, keys: list[str], dmode: str = "native"
 ) -> DataFrame:
-    """Last change per key wins. The base is only anti-joined by key, so a small batch
-    of changes never shuffles it."""
+    """Last change per key wins.
+
+    With a base the net changes are written down first: the log is read once, and since
+    the base is only anti-joined with them, a small batch is broadcast and the base is
+    never shuffled.
+    """
     last = latest_changes(_drop_deletes(changes, dmode), keys)
+    if base is not None:
+        last = stage(last, "net-changes")
     live = last.where(F.col("op") != "delete").select("row.*")
     if base is None:
         return live
@@ -386,8 +394,8 @@ _STEPS = 8
 
 
 def _walk(state: DataFrame, parts: DataFrame, keys: list[str]) -> DataFrame:
-    """Send each key's state through its slices one after the other. A slice holds at most
-    the cap of entries per key, and there are at most MAX_SLICES of them."""
+    """Send each key's state through its slices one after the other; every step reads one
+    slice, so all steps together read the entries once."""
     slices = [r[0] for r in parts.select("at").distinct().orderBy("at").collect()]
     for i, at in enumerate(slices, 1):
         state = _advance(state, parts.where(F.col("at") == at), keys)
@@ -423,7 +431,7 @@ def _replay_hot(
     entries = _entries(log, keys, modes)
     size = None
     while True:
-        cut = slice_groups(entries, keys, "at", cap)
+        cut = slice_groups(entries, keys, "at", cap, FOLD_SLICES)
         if not cut.hot:
             state = _advance(state, _compose_groups(entries, keys, None), keys)
             break

@@ -79,7 +79,7 @@ def snapshot_envelopes(df: DataFrame, database: str, table: str, ts: int) -> Dat
             data.alias("data"),
         )
 
-    one = df.sparkSession.range(1)
+    one = df.sparkSession.range(0, 1, 1, 1)
     return (
         part(one, "start", 0, _empty_map())
         .unionByName(part(df, "insert", 1, payload(df)))
@@ -100,7 +100,7 @@ def snapshot_documents(df: DataFrame, database: str, coll: str, id_column: str)
             doc.alias("fullDocument"),
         )
 
-    one = df.sparkSession.range(1)
+    one = df.sparkSession.range(0, 1, 1, 1)
     no_key, no_doc = F.lit(None).cast("string"), F.lit(None).cast("map<string,string>")
     return (
         part(one, "start", 0, no_key, no_doc)

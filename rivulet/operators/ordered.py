@@ -83,7 +83,13 @@ class Sliced:
         return F.broadcast(df) if self.summary_rows <= BROADCAST_ROWS else df
 
 
-def slice_groups(df: DataFrame, keys: list[str], seq: str, cap: int = GROUP_CAP) -> Sliced:
+def slice_groups(
+    df: DataFrame,
+    keys: list[str],
+    seq: str,
+    cap: int = GROUP_CAP,
+    max_slices: int = MAX_SLICES,
+) -> Sliced:
     """Cut groups above `cap` rows into slices of about `cap` rows along `seq`.
 
     Rows of other groups get slice -1.
@@ -92,7 +98,7 @@ def slice_groups(df: DataFrame, keys: list[str], seq: str, cap: int = GROUP_CAP)
     hot = hot_groups(df, keys, cap)
     if hot is None:
         return Sliced(df.withColumn(SLICE, F.lit(-1.0)), False)
-    slices = max(2, min(MAX_SLICES, -(-hot.rows // cap)))
+    slices = max(2, min(max_slices, -(-hot.rows // cap)))
     if not keys:
         return Sliced(_bucket(df, seq, _bounds(df, seq, slices)), True, slices)
     flags = hot.hint()(hot.frame.select(*[F.col(k).alias(f"_h_{k}") for k in keys]))

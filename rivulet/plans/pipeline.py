@@ -13,7 +13,13 @@ from rivulet.operators.apply_docs import (
     row_changes_as_documents,
 )
 from rivulet.operators.apply_rows import Modes, apply_changes, changes_from
-from rivulet.operators.envelope import decode_documents, decode_rows, encode_messages
+from rivulet.operators.envelope import (
+    decode_documents,
+    decode_rows,
+    encode_messages,
+    snapshot_envelopes,
+)
+from rivulet.operators.gates import gate_alignment, gate_rows
 from rivulet.operators.routing import (
     keep_tables,
     resolve_document_target,
@@ -140,3 +146,49 @@ def build_pipeline(
 def full_then_incremental(snapshot: DataFrame, log: DataFrame) -> DataFrame:
     """Snapshot envelopes (phases 0-2) followed by log envelopes (phase 3)."""
     return snapshot.unionByName(log.withColumn("phase", F.lit(3)), allowMissingColumns=True)
+
+
+def read_tables(
+    snapshots: dict[str, DataFrame],
+    log: DataFrame,
+    snapshot_ts: int,
+    positions: DataFrame | None = None,
+    executed: DataFrame | None = None,
+    bootstrap: bool = True,
+    resume: bool = True,
+) -> DataFrame:
+    """Full and incremental read of `db.table` -> current rows.
+
+    Tables without a stored position are new: their snapshot comes first (unless
+    `bootstrap` is off), then the log of all tables, gated by the positions (unless
+    `resume` is off). New tables start at the snapshot time, and when other tables were
+    followed before, their changes wait for the first transaction outside `executed`, the
+    snapshot's GTID set. `positions` are (database, table, time, inc), one row per table.
+    """
+    known = set()
+    if positions is not None and resume:
+        known = {
+            f"{r[0]}.{r[1]}" for r in positions.select("database", "table").distinct().collect()
+        }
+    new = [name for name in snapshots if name not in known]
+    followed = keep_tables(log, list(snapshots))
+    if resume:
+        spark = log.sparkSession
+        schema = "database STRING, `table` STRING, time BIGINT, inc INT"
+        start = spark.createDataFrame(
+            [(*name.split("."), snapshot_ts, 0) for name in new] if bootstrap else [], schema
+        )
+        if positions is not None:
+            start = start.unionByName(positions.select("database", "table", "time", "inc"))
+        if executed is not None and known and new:
+            is_new = F.concat_ws(".", "database", "table").isin(*new)
+            followed = gate_alignment(followed, executed, is_new)
+        followed = gate_rows(followed, ["database", "table"], positions=start)
+    parts = [
+        snapshot_envelopes(snapshots[name], *name.split("."), snapshot_ts)
+        for name in (new if bootstrap else [])
+    ]
+    whole = followed.withColumn("phase", F.lit(3))
+    for part in parts:
+        whole = whole.unionByName(part, allowMissingColumns=True)
+    return whole

@@ -33,11 +33,13 @@ from rivulet.plans.inputs import (
     account_log,
     account_messages,
     document_messages,
+    epoch_seconds,
     order_base,
     order_changes,
     order_events,
     table,
 )
+from rivulet.plans.pipeline import read_tables
 from rivulet.plans.registry import query
 from rivulet.util import stage
 
@@ -198,6 +200,43 @@ def gtid_set_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gtid.sets_contain(own, other, ["event_id"])
 
 
+@query(
+    f"""with {S.LOG},
+p as (select min(ts_s) + 50000 as t from log where db = 'db1' and tbl = 't2'),
+snap as (select cast(floor(epoch(min(ts))) as bigint) as t from events),
+w as (select log.*, case when db = 'db1' then (select t from p) else (select t from snap) end as start,
+  max(ts_s) over (partition by db, tbl order by seq rows between unbounded preceding and 1 preceding) as seen
+  from log where (db, tbl) in (('db0', 't1'), ('db1', 't2'))),
+g as (select * from w where ts_s >= start and (seen is null or ts_s >= seen))
+select 3 as phase, type, topic, user_id as id from g
+union all select 0, 'bootstrap-start', 'db0-t1', null
+union all select 1, 'bootstrap-insert', 'db0-t1', c_custkey from customer
+union all select 2, 'bootstrap-complete', 'db0-t1', null"""
+)
+def read_new_and_known_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One new table is snapshotted and followed, one known table only followed."""
+    log = account_log(spark, sf_dir)
+    known = (F.col("database") == "db1") & (F.col("table") == "t2")
+    positions = log.where(known).groupBy("database", "table").agg(
+        (F.min("ts") + 50_000).alias("time"), F.lit(0).alias("inc")
+    )
+    begin = table(spark, sf_dir, "events").agg(F.min(epoch_seconds(F.col("ts")))).first()[0]
+    whole = read_tables(
+        {
+            "db0.t1": table(spark, sf_dir, "customer"),
+            "db1.t2": table(spark, sf_dir, "supplier"),
+        },
+        log,
+        begin,
+        positions,
+    )
+    data = F.col("data")
+    key = F.coalesce(
+        F.try_element_at(data, F.lit("c_custkey")), F.try_element_at(data, F.lit("user_id"))
+    )
+    return whole.select("phase", "type", "topic", key.cast("bigint").alias("id"))
+
+
 # --- applying row changes ------------------------------------------------------------
 
 

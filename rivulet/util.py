@@ -9,6 +9,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Folders of local sessions that name none, by application.
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
 
@@ -17,11 +21,12 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    fallback = tempfile.mkdtemp(prefix="rivulet-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    if context.applicationId not in _local_dirs:
+        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="rivulet-")
+    return _local_dirs[context.applicationId]
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
