@@ -224,16 +224,13 @@ def document_id(key: Column) -> Column:
     return F.coalesce(inner, key)
 
 
-def decode_documents(messages: DataFrame) -> DataFrame:
+def decode_documents(messages: DataFrame, fields: list[str] | None = None) -> DataFrame:
     """Document envelopes of messages (works on streams), with both key forms as `_id`
-    and the cluster time as STRUCT<time, inc>."""
-    parsed = _parse(messages, DOC_WIRE, None)
-    return parsed.select(
-        *[c for c in parsed.columns if c.startswith("m_")],
-        "operationType",
-        "ns",
-        "topic",
-        cluster_time(F.col("clusterTime")).alias("clusterTime"),
-        document_id(F.col("documentKey")).alias("_id"),
-        "fullDocument",
-    )
+    and the cluster time as STRUCT<time, inc>. `fields` limits what is parsed, by the
+    names used in messages."""
+    parsed = _parse(messages, DOC_WIRE, fields)
+    made = {
+        "clusterTime": cluster_time(F.col("clusterTime")).alias("clusterTime"),
+        "documentKey": document_id(F.col("documentKey")).alias("_id"),
+    }
+    return parsed.select(*[made.get(c, F.col(c)) for c in parsed.columns])

@@ -109,14 +109,9 @@ def sets_contain(own: DataFrame, others: DataFrame, by: list[str]) -> DataFrame:
 def compact(df: DataFrame, sid: str = "sid", gno: str = "gno", cap: int = GROUP_CAP) -> DataFrame:
     """GTID set (sid, lo, hi) of executed transactions: runs of consecutive numbers."""
     known = df.select(F.col(sid).alias("sid"), F.col(gno).alias("gno")).distinct()
-    prior = running(known, ["sid"], "gno", {"_prev": ("max", F.col("gno"))}, cap=cap)
-    opens = F.coalesce(F.col("gno") - 1 != F.col("_prev"), F.lit(True))
-    numbered = running(
-        prior.withColumn("_open", F.when(opens, F.col("gno"))),
-        ["sid"],
-        "gno",
-        {"lo": ("max", F.col("_open"))},
-        inclusive=True,
-        cap=cap,
+    ranked = running(
+        known, ["sid"], "gno", {"_n": ("sum", F.lit(1))}, inclusive=True, cap=cap
     )
-    return numbered.groupBy("sid", "lo").agg(F.max("gno").alias("hi"))
+    # Consecutive numbers share the difference between the number and its rank.
+    runs = ranked.groupBy("sid", (F.col("gno") - F.col("_n")).alias("_run"))
+    return runs.agg(F.min("gno").alias("lo"), F.max("gno").alias("hi")).drop("_run")

@@ -49,11 +49,24 @@ class HotGroups:
         return F.broadcast if fits else (lambda df: df)
 
 
+# Estimated bytes up to which all rows are counted before any group is.
+_COUNT_FIRST = 1 << 28
+
+
+def _has_few_rows(df: DataFrame, cap: int) -> bool:
+    """Whether a frame that looks small has at most `cap` rows, as its count shows."""
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(estimate)) < _COUNT_FIRST and df.count() <= cap
+
+
 def hot_groups(df: DataFrame, keys: list[str], cap: int = GROUP_CAP) -> HotGroups | None:
     """Groups of more than `cap` rows, or None; only the key columns are read.
 
-    The counts combine before the shuffle, so finding a hot group is not slowed by it.
+    The counts combine before the shuffle, so finding a hot group is not slowed by it. A
+    frame that is small as a whole is counted without any shuffle.
     """
+    if _has_few_rows(df, cap):
+        return None
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > cap)
     groups, rows = sizes.agg(F.count(F.lit(1)), F.sum("_n")).first()
     if not groups:

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from rivulet.functions import format_seconds
 from rivulet.operators.envelope import encode
+from rivulet.sources.snapshot import parquet_table
 
 # Columns and types of the replicated `shop.account` table.
 ACCOUNT = {"user_id": "bigint", "event_type": "string", "value": "double", "created": "string"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return parquet_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def epoch_seconds(value: Column) -> Column:

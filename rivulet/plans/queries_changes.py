@@ -104,7 +104,7 @@ g as (select c.*, max(pos) over (partition by coll order by seq
 select seq, coll, t as time, i as inc from g where seen is null or pos >= seen"""
 )
 def late_gate_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = decode_documents(document_messages(spark, sf_dir)).select(
+    log = decode_documents(document_messages(spark, sf_dir), ["clusterTime"]).select(
         F.col("m_offset").alias("seq"),
         F.concat(F.lit("c"), (F.col("m_offset") % 3).cast("string")).alias("coll"),
         "clusterTime",
@@ -566,7 +566,7 @@ def document_position(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _collections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode_documents(document_messages(spark, sf_dir)).select(
+    return decode_documents(document_messages(spark, sf_dir), ["clusterTime"]).select(
         F.col("m_offset").alias("seq"),
         F.concat(F.lit("c"), (F.col("m_offset") % 3).cast("string")).alias("coll"),
         "clusterTime",

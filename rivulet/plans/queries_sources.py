@@ -274,7 +274,8 @@ select type, case type when 'bootstrap-insert' then 'insert' when 'replace' then
   as action, count(*) as n from docs group by 1, 2"""
 )
 def route_document_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    routed = routing.route_documents(envelope.decode_documents(document_messages(spark, sf_dir)))
+    got = envelope.decode_documents(document_messages(spark, sf_dir), ["operationType"])
+    routed = routing.route_documents(got)
     return routed.groupBy(F.col("operationType").alias("type"), "action").agg(
         F.count(F.lit(1)).alias("n")
     )
