@@ -266,18 +266,26 @@ def _fold(base: DataFrame | None, log: DataFrame, keys: list[str], modes: Modes)
 # The three special states. Other states are digests of rows.
 _ABSENT, _ANY_LIVE, _ERROR = "", "*", "!"
 
+# Times in full, so that rows differing in microseconds only get different digests.
+_EXACT = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
+def _digest(row: str) -> Column:
+    return F.sha2(F.to_json(F.col(row), _EXACT), 256)
+
 
 def _entries(log: DataFrame, keys: list[str], modes: Modes) -> DataFrame:
     """(keys…, at, need, give, give_seq) rows of a keyed change log."""
 
-    def digest(image: str) -> Column:
-        return F.sha2(F.to_json(F.col(image), {"ignoreNullFields": "false"}), 256)
-
     def entry(need: Column, give: Column) -> Column:
         return F.struct(need.alias("need"), give.alias("give"))
 
     absent, live, error = F.lit(_ABSENT), F.lit(_ANY_LIVE), F.lit(_ERROR)
-    row = digest("row")
+    row = _digest("row")
     always = F.array(entry(absent, row), entry(live, row))
     inserts = {
         "native": F.array(entry(absent, row), entry(live, error)),
@@ -288,7 +296,7 @@ def _entries(log: DataFrame, keys: list[str], modes: Modes) -> DataFrame:
     if modes.umode == "replace":
         updates = always
     else:
-        updates = F.array(entry(live if by_key else digest("old"), row))
+        updates = F.array(entry(live if by_key else _digest("old"), row))
     deletes = F.array(entry(live if by_key else row, absent))
     made = (
         F.when(F.col("op") == "insert", inserts)
@@ -423,8 +431,7 @@ def _replay_hot(
         held = base.join(hot.hint()(owners), keys, "left_semi").select(
             *keys, F.struct(*columns).cast(log.schema["row"].dataType).alias("row")
         )
-        digest = F.sha2(F.to_json("row", {"ignoreNullFields": "false"}), 256)
-        start = owners.join(held.select(*keys, digest.alias("value")), keys, "left").withColumn(
+        start = owners.join(held.select(*keys, _digest("row").alias("value")), keys, "left").withColumn(
             "value", F.coalesce("value", F.lit(_ABSENT))
         )
     state = stage(start.withColumn("value_seq", F.lit(_BASE_SEQ).cast("bigint")), "hot-state")
@@ -477,7 +484,6 @@ def apply_fold(
     hot = hot_groups(log, keys, cap)
     if hot is None:
         return _fold(base, log, keys, modes)
-    hot = HotGroups(stage(hot.frame, "hot-keys"), hot.groups, hot.rows)
     flags = hot.hint()(hot.frame)
     cold_base = None if base is None else base.join(flags, keys, "left_anti")
     cold = _fold(cold_base, log.join(flags, keys, "left_anti"), keys, modes)

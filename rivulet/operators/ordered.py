@@ -15,7 +15,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.util import null_safe
+from rivulet.util import null_safe, stage
 
 # Rows of one group that a single task may sort.
 GROUP_CAP = 2_000_000
@@ -49,6 +49,8 @@ class HotGroups:
         return F.broadcast if fits else (lambda df: df)
 
 
+# Hot groups up to which their keys are listed in the plan; more are kept in a table.
+_LISTED = 1_000
 # Estimated bytes up to which all rows are counted before any group is.
 _COUNT_FIRST = 1 << 28
 
@@ -68,9 +70,14 @@ def hot_groups(df: DataFrame, keys: list[str], cap: int = GROUP_CAP) -> HotGroup
     if _has_few_rows(df, cap):
         return None
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > cap)
-    groups, rows = sizes.agg(F.count(F.lit(1)), F.sum("_n")).first()
-    if not groups:
+    found = sizes.limit(_LISTED + 1).collect()
+    if not found:
         return None
+    if len(found) <= _LISTED:
+        named = df.sparkSession.createDataFrame(found, sizes.schema)
+        return HotGroups(named.select(*keys), len(found), sum(r["_n"] for r in found))
+    sizes = stage(sizes, "hot-groups")
+    groups, rows = sizes.agg(F.count(F.lit(1)), F.sum("_n")).first()
     return HotGroups(sizes.select(*keys), groups, rows)
 
 

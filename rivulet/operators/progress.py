@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rivulet.operators.ordered import small
+
 
 def consumer_progress(messages: DataFrame) -> DataFrame:
     """Next offset to read per topic and partition."""
@@ -29,7 +31,7 @@ def resume_after(messages: DataFrame, tokens: DataFrame) -> DataFrame:
         F.col("token").alias("_token"), F.col("next_offset").alias("_next")
     )
     key = F.concat_ws(".", F.col("topic"), F.col("partition").cast("string"))
-    joined = messages.join(F.broadcast(stored), key == F.col("_token"), "left")
+    joined = messages.join(small(stored), key == F.col("_token"), "left")
     return joined.where(F.col("offset") >= F.coalesce("_next", F.lit(0))).select(*messages.columns)
 
 

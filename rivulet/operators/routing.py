@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rivulet.functions import b64_decode, shift_to_shanghai
 from rivulet.operators.envelope import table_key
+from rivulet.operators.ordered import small
 from rivulet.schemas import DDL, DOC_DML, MARKERS, ROW_DML
 
 
@@ -67,7 +68,7 @@ def keep_tables(
 
 def keep_tables_in(df: DataFrame, tables: DataFrame) -> DataFrame:
     """Exact filter by a frame of (database, table) rows of any size."""
-    return df.join(tables.select("database", "table"), ["database", "table"], "left_semi")
+    return df.join(small(tables.select("database", "table")), ["database", "table"], "left_semi")
 
 
 def keep_schemas(

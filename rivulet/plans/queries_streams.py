@@ -15,7 +15,7 @@ from rivulet.plans.inputs import (
     table,
 )
 from rivulet.plans.pipeline import build_pipeline
-from rivulet.plans.queries_changes import _fields
+from rivulet.plans.queries_changes import _collections, _fields
 from rivulet.plans.registry import query
 from rivulet.sinks.messages import write_files
 from rivulet.sinks.tables import BucketedTable
@@ -138,6 +138,33 @@ def stream_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return position_store(spark, f"{home}/state", ["database", "table"]).before().drop("inc")
 
 
+@query(
+    f"""with {S.DOCS},
+c as (select *, 'c' || (seq % 3) as coll, t * 16 + i as pos from docs),
+g as (select c.*, max(pos) over (partition by coll order by seq
+        rows between unbounded preceding and 1 preceding) as seen from c)
+select seq, coll, t as time, i as inc from g where seen is null or pos >= seen"""
+)
+def stream_late_gate_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The late gate on cluster times, over two runs on one checkpoint."""
+    home = scratch_dir(spark, "stream-doc-gate")
+    log = _collections(spark, sf_dir)
+    middle = log.agg(F.max("seq") / 2).scalar()
+    for part in (F.col("seq") <= middle, F.col("seq") > middle):
+        log.where(part).write.mode("append").parquet(f"{home}/log")
+        stream = spark.readStream.schema(log.schema).parquet(f"{home}/log")
+        drain(
+            gate_stream(
+                stream, ["coll"], f"{home}/state", f"{home}/out", f"{home}/checkpoint",
+                ts="clusterTime", documents=True,
+            )
+        )
+    out = spark.read.schema(log.schema).parquet(f"{home}/out")
+    return out.select(
+        "seq", "coll", "clusterTime.time", F.col("clusterTime.inc").cast("bigint").alias("inc")
+    )
+
+
 _TABLE_STATE = f"""with {S.LOG}, c as (select * from log where type <> 'replace' and db = 'db1' and tbl = 't2'),
 last as (select *, row_number() over (partition by user_id order by seq desc) as rn from c)
 select user_id, event_type, value, created from last where rn = 1 and type <> 'delete'"""

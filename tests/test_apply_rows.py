@@ -198,6 +198,24 @@ def test_sample_messages_replayed_by_before_image(spark):
     assert got[0]["name"] == "hello" and int(got[0]["person_id"]) == 1
 
 
+def test_hot_rows_that_differ_in_microseconds_only(spark):
+    text = "2024-01-01 00:00:00.00000"
+    log = [(0, "insert", (1, text + "1"), None), (1, "update", (1, text + "9"), (1, text + "2"))]
+    log += [(2 + n, "delete", (1, text + "3"), None) for n in range(8)]
+    changes = spark.createDataFrame(log, CHANGE)
+    for kind in ("timestamp", "timestamp_ntz"):
+        typed = changes.select(
+            "seq", "op",
+            *[
+                F.when(F.col(i).isNotNull(), F.struct(F.col(i)["k"].alias("k"), F.col(i)["s"].cast(kind).alias("s"))).alias(i)
+                for i in ("row", "old")
+            ],
+        )
+        for cap in (3, 100):
+            got = apply_fold(None, typed, ["k"], cap=cap).select("k", F.col("s").cast("string"))
+            assert [tuple(r) for r in got.collect()] == [(1, text + "1")]
+
+
 def test_modes_are_checked():
     with pytest.raises(ValueError, match="imode"):
         Modes(imode="upsert")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rivulet.operators.apply_rows import Modes
 from rivulet.operators.envelope import encode_messages
+from rivulet.operators.gates import gate_offsets
 from rivulet.operators.progress import consumer_progress, progress_tokens, resume_after, starting_offsets
 from rivulet.sinks.messages import write_files
 from rivulet.sinks.tables import BucketedTable, merge_statement
@@ -186,3 +187,19 @@ def test_merge_statement_parses(spark):
     plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text).toString()
     assert "MergeIntoTable" in plan and "delete" in text
     assert "DELETE" not in merge_statement("db.t", "changes", ["k"], ["k"], dmode="ignore")
+
+
+def test_offset_gate_works_on_streams(spark, tmp_path):
+    home = str(tmp_path)
+    rows = spark.createDataFrame([("t", 2, n) for n in (1, 2, 3)], "tbl STRING, ts BIGINT, row_no INT")
+    rows.write.parquet(f"{home}/in")
+    positions = spark.createDataFrame([("t", 2, 2)], "tbl STRING, time BIGINT, inc INT")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{home}/in")
+    query = (
+        gate_offsets(stream, ["tbl"], positions)
+        .writeStream.option("checkpointLocation", f"{home}/cp")
+        .trigger(availableNow=True)
+        .start(f"{home}/out", format="parquet")
+    )
+    drain(query)
+    assert sorted(r["row_no"] for r in spark.read.parquet(f"{home}/out").collect()) == [2, 3]
