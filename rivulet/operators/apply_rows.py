@@ -257,7 +257,9 @@ def _fold(base: DataFrame | None, log: DataFrame, keys: list[str], modes: Modes)
     start = F.struct(F.col("_base").isNotNull().alias("live"), F.col("_base").alias("row"))
     empty = F.array().cast(per_key.schema["_log"].dataType)
     end = F.aggregate(F.coalesce("_log", empty), start, _step(modes))
-    return both.select(end.alias("_s")).where(F.col("_s.live")).select("_s.row.*")
+    # In a generator, so that the filter below does not fold every log a second time.
+    states = both.select(F.inline(F.array(end)))
+    return states.where(F.col("live")).select("row.*")
 
 
 # Hot keys. Each change is a function on the state of its key, written as rows

@@ -118,6 +118,8 @@ def explode_rows_events(events: DataFrame) -> DataFrame:
     """
     own = {"kind", "schema", "table", "timestamp", "rows"}
     kept = [c for c in events.columns if c not in own]
+    # The outer form keeps Spark from testing the size of `rows` in a filter of its own,
+    # which would build them a second time where they are derived.
     flat = events.select(
         *kept,
         "kind",
@@ -125,8 +127,8 @@ def explode_rows_events(events: DataFrame) -> DataFrame:
         "table",
         F.col("timestamp").alias("ts"),
         F.size("rows").alias("_rows"),
-        F.posexplode("rows").alias("_pos", "_row"),
-    )
+        F.posexplode_outer("rows").alias("_pos", "_row"),
+    ).where(F.col("_pos").isNotNull())
     last = F.col("_pos") + 1 == F.col("_rows")
     is_update = F.col("kind") == "update"
     return flat.select(

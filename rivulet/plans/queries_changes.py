@@ -438,8 +438,8 @@ def bag_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fields(docs: DataFrame) -> DataFrame:
-    flat = docs.select("_id", F.explode("doc").alias("field", "value"))
-    return flat.select("_id", "field", F.col("value").cast("double").alias("value"))
+    flat = docs.select("_id", F.explode_outer("doc").alias("field", "value"))
+    return flat.where(F.col("field").isNotNull()).select("_id", "field", F.col("value").cast("double").alias("value"))
 
 
 def _profile_changes(spark: SparkSession, sf_dir: str) -> DataFrame:

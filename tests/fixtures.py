@@ -1,4 +1,4 @@
-"""Sample messages of a replicated account table."""
+"""Sample messages of a replicated account table. Names, times and ids are fixed values."""
 
 import json
 
