@@ -7,8 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
 from rivulet.llm.common import documents
+from rivulet.llm.decontaminate import find_items
+from rivulet.llm.language_id import identify
 from rivulet.llm.near_dedup import near_duplicates
+from rivulet.llm.substring_dedup import remove_repeated
+from rivulet.llm.token_counts import count_tokens
+from rivulet.util import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,6 +32,29 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query()
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the labelled ones that are not held out."""
+    return identify(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query()
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents without passages of 35 words that occur elsewhere too."""
+    return remove_repeated(documents(spark, sf_dir), size=35).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256"
+    )
+
+
+@query()
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in all documents."""
+    found = find_items(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "item_id", F.round("similarity", 6).alias("similarity"), "start", "n_words"
+    )
+
+
 @query()
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents on four-word shingles."""
@@ -35,3 +65,11 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"),
     )
+
+
+@query()
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, through a cache of its own for this run."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        definition = file.read()
+    return count_tokens(documents(spark, sf_dir), scratch_dir(spark, "token-cache"), definition)
