@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,8 @@ _SPACE = " \t\n\x0b\x0c\r"
 # Rows that a broadcast may have; callers send a few numbers or short keys a row, so that
 # the built relation stays under about 100 MB.
 BROADCAST_ROWS = 1_000_000
+# Text that a Python task works on at a time; one longer text is worked on as a whole.
+PART_BYTES = 2 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -42,13 +46,23 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def parts(batch: pa.RecordBatch, size: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with at most about `size` bytes of text, or with one text."""
+    lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy()
+    upto, low = np.cumsum(lengths), 0
+    while low < len(lengths):
+        done = int(upto[low - 1]) if low else 0
+        high = max(low + 1, int(np.searchsorted(upto, done + size, "right")))
+        yield batch.slice(low, high - low)
+        low = high
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str):
-    """mapInArrow with a function from batch to batch."""
+    """mapInArrow with a function from a part of a batch to a batch; `df` has `text`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield fn(batch)
+            yield from map(fn, parts(batch))
 
     return df.mapInArrow(run, schema)
 

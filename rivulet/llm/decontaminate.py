@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rivulet.llm.common import parts
 from rivulet.llm.words import Words, digest, grams, mix
 from rivulet.util import stage
 
@@ -151,11 +152,11 @@ def find_items(docs: DataFrame, items: DataFrame, shingle: int = 5, percent: int
         "items",
     )
     volume = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = -(-2 * volume // ITEM_BYTES) or 1
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
+    passes = -(-2 * volume // ITEM_BYTES) or 1
+    share = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
     found = None
-    for k in range(parts):
-        rows = [tuple(r) for r in items.where(part == k).collect()]
+    for k in range(passes):
+        rows = [tuple(r) for r in items.where(share == k).collect()]
         one = _search(docs, spark.sparkContext.broadcast(rows), shingle, percent)
         found = one if found is None else found.unionByName(one)
     return found
@@ -164,7 +165,7 @@ def find_items(docs: DataFrame, items: DataFrame, shingle: int = 5, percent: int
 def _search(docs: DataFrame, shared, shingle: int, percent: int) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups = item_groups(shared.value, shingle)
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts(whole)):
             words = Words(batch.column("text"))
             hashes = words.hashes(lower=True)
             ids = batch.column("doc_id").to_pylist()

@@ -13,6 +13,7 @@ from rivulet.llm.common import documents
 from rivulet.llm.decontaminate import find_items
 from rivulet.llm.language_id import identify
 from rivulet.llm.near_dedup import near_duplicates
+from rivulet.llm.quality import score_documents
 from rivulet.llm.substring_dedup import remove_repeated
 from rivulet.llm.token_counts import count_tokens
 from rivulet.util import scratch_dir
@@ -32,6 +33,16 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query()
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts, score and verdict of every document."""
+    scored = score_documents(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "score",
+    )
+
+
 @query()
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the labelled ones that are not held out."""
