@@ -12,6 +12,7 @@ import public_tokenizers
 from rivulet.llm.common import documents
 from rivulet.llm.decontaminate import find_items
 from rivulet.llm.language_id import identify
+from rivulet.llm.mixing import mix_sizes
 from rivulet.llm.near_dedup import near_duplicates
 from rivulet.llm.quality import score_documents
 from rivulet.llm.substring_dedup import remove_repeated
@@ -66,6 +67,12 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all documents takes of each, by source weights 5, 2, 1."""
+    return mix_sizes(documents(spark, sf_dir))
+
+
 @query()
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents on four-word shingles."""
