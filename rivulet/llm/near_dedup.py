@@ -3,17 +3,18 @@
 Of every document's set of word shingles, 128 minima are taken. Runs of four minima hash to
 32 band keys, and two low bits of every minimum are packed into four longs. Documents that
 share a band key are candidates; counting equal bit pairs estimates their similarity,
-corrected for the one in four that agree by chance; pairs within six standard errors of
-the limit are confirmed on full shingle sets.
+corrected for the one in four that agree by chance; pairs not far below the limit are
+confirmed on full shingle sets.
 
 A bucket is never expanded into its pairs. Copies (equal word sequences) are one node from
 the start. Each bucket's best-connected node is compared with the others; what that links
-is contracted, and only in buckets that still hold several components are nodes of
-different components compared, with the estimate as part of the join, so that a pair leaves
-the join only if it is about to be confirmed. A link whose ends are already in one
-component cannot change the result, so no component is lost.
+is contracted. Only in buckets that still hold several components are nodes of different
+components compared, by longer signatures (512 minima, four bits each) that are part of the
+join, so that a pair leaves the join once and only if it is about to be confirmed. A link
+whose ends are already in one component cannot change the result, so no component is lost.
 
-A pair at the limit of 0.8 shares no band with probability (1 - 0.8^4)^32 = 5e-8.
+A pair at the limit of 0.8 shares no band with probability (1 - 0.8^4)^32 = 5e-8; the
+estimates' margins, six and five standard errors, lose one in 10^6 of such pairs at most.
 """
 
 from __future__ import annotations
@@ -29,8 +30,10 @@ from rivulet.util import stage
 
 HASHES, ROWS, BITS = 128, 4, 2
 BANDS = HASHES // ROWS
-_SEEDS = mix(np.arange(1, 2 * HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_TIMES, _PLUS = _SEEDS[:HASHES, None] | np.uint64(1), _SEEDS[HASHES:, None]
+FINE_HASHES, FINE_BITS = 512, 4
+_FINE = [f"f{k}" for k in range(FINE_HASHES * FINE_BITS // 64)]
+_SEEDS = mix(np.arange(1, 2 * FINE_HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_TIMES, _PLUS = _SEEDS[:FINE_HASHES, None] | np.uint64(1), _SEEDS[FINE_HASHES:, None]
 _BLOCK = 2048
 
 
@@ -49,20 +52,20 @@ def shingle_sets(texts: pa.Array, size: int):
             yield np.zeros(0, np.uint64), own
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
-    least = np.full(HASHES, np.iinfo(np.uint64).max, np.uint64)
+def minima(shingles: np.ndarray, hashes: int = HASHES) -> np.ndarray:
+    least = np.full(hashes, np.iinfo(np.uint64).max, np.uint64)
+    times, plus = _TIMES[:hashes], _PLUS[:hashes]
     for at in range(0, len(shingles), _BLOCK):
-        part = (shingles[None, at : at + _BLOCK] * _TIMES + _PLUS).min(axis=1)
+        part = (shingles[None, at : at + _BLOCK] * times + plus).min(axis=1)
         np.minimum(least, part, out=least)
     return least
 
 
-def packed(least: np.ndarray) -> np.ndarray:
+def packed(least: np.ndarray, bits: int = BITS) -> np.ndarray:
     """Rows of minima as rows of 64-bit lanes of low bits (taken above bit 20)."""
-    lanes = HASHES * BITS // 64
-    low = (least >> np.uint64(20)) & np.uint64(2**BITS - 1)
-    shifts = np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS)
-    return (low.reshape(len(least), lanes, 64 // BITS) << shifts).sum(axis=2, dtype=np.uint64)
+    low = (least >> np.uint64(20)) & np.uint64(2**bits - 1)
+    shifts = np.arange(64 // bits, dtype=np.uint64) * np.uint64(bits)
+    return (low.reshape(len(least), -1, 64 // bits) << shifts).sum(axis=2, dtype=np.uint64)
 
 
 def band_keys(least: np.ndarray) -> np.ndarray:
@@ -108,28 +111,43 @@ def text_key(column: str) -> Column:
     return F.md5(F.coalesce(F.col(column), F.lit("")).cast("binary"))
 
 
-def estimate(a: str, b: str) -> Column:
-    """Similarity from the share of equal bit pairs, corrected for chance."""
-    odd = F.lit(0x5555555555555555)
+def estimate(a: str, b: str, names: list[str], hashes: int, bits: int) -> Column:
+    """Similarity from the share of equal low bits, corrected for chance."""
+    ones = sum(1 << k for k in range(0, 64, bits))
     unequal = F.lit(0)
-    for k in range(4):
-        x = F.col(f"{a}.s{k}").bitwiseXOR(F.col(f"{b}.s{k}"))
-        unequal = unequal + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(odd))
-    chance = 0.5**BITS
-    return (1 - unequal / HASHES - chance) / (1 - chance)
+    for name in names:
+        x = F.col(f"{a}.{name}").bitwiseXOR(F.col(f"{b}.{name}"))
+        either = x
+        for k in range(1, bits):
+            either = either.bitwiseOR(F.shiftrightunsigned(x, k))
+        unequal = unequal + F.bit_count(either.bitwiseAND(F.lit(ones)))
+    chance = 0.5**bits
+    return (1 - unequal / hashes - chance) / (1 - chance)
+
+
+def cut(percent: int, hashes: int, bits: int, errors: float) -> float:
+    """The limit less some standard errors of the estimate."""
+    limit, chance = percent / 100, 0.5**bits
+    agree = limit + (1 - limit) * chance
+    return limit - errors * (agree * (1 - agree) / hashes) ** 0.5 / (1 - chance)
 
 
-def cut(percent: int) -> float:
-    """Six standard errors below the limit."""
-    limit, chance = percent / 100, 0.5**BITS
-    agree = limit + (1 - limit) * chance
-    return limit - 6 * (agree * (1 - agree) / HASHES) ** 0.5 / (1 - chance)
+def texts_of(wanted: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Texts of nodes; a text is there twice if its row is."""
+    listed = stage(nodes.join(wanted, "node").select("doc_id", "text_key"), "wanted")
+    keyed = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", text_key("text").alias("text_key")
+    )
+    return keyed.alias("d").join(
+        small(listed).alias("w"),
+        F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))
+        & (F.col("d.text_key") == F.col("w.text_key")),
+        "left_semi",
+    ).select("text")
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, percent: int):
     """Those of (x, y) whose full sets are similar enough; reads only the texts needed."""
-    ends = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
-    wanted = stage(nodes.join(ends, "node").select("doc_id", "text_key"), "wanted")
 
     def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = list(shingle_sets(batch.column("text"), size))
@@ -143,20 +161,10 @@ def confirm(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, perc
             names=["node", "shingles"],
         )
 
-    keyed = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", text_key("text").alias("text_key")
-    )
-    chosen = small(wanted).alias("w")
-    texts = keyed.alias("d").join(
-        chosen,
-        F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))
-        & (F.col("d.text_key") == F.col("w.text_key")),
-        "left_semi",
-    )
-    # a row of `documents` may be there several times
-    own = stage(
-        arrow_map(texts.select("text"), sets, "node binary, shingles array<long>"), "sets"
-    ).dropDuplicates(["node"])
+    ends = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
+    texts = texts_of(ends, docs, nodes)
+    own = stage(arrow_map(texts, sets, "node binary, shingles array<long>"), "sets")
+    own = own.dropDuplicates(["node"])
     shared = F.size(F.array_intersect("sx", "sy"))
     return (
         pairs.select("x", "y")
@@ -167,6 +175,53 @@ def confirm(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, perc
     )
 
 
+def fine_lanes(wanted: DataFrame, docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """(node, f0, f1, ...): the longer signatures of some nodes."""
+
+    def sign(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = list(shingle_sets(batch.column("text"), size))
+        least = np.stack([minima(s, FINE_HASHES) for s, _ in found])
+        lanes = packed(least, FINE_BITS)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([own for _, own in found], pa.binary()),
+                *(pa.array(signed(np.ascontiguousarray(x))) for x in lanes.T),
+            ],
+            names=["node", *_FINE],
+        )
+
+    schema = ", ".join(["node binary", *(f"{f} long" for f in _FINE)])
+    return arrow_map(texts_of(wanted, docs, nodes), sign, schema).dropDuplicates(["node"])
+
+
+def bridges(placed: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, percent: int):
+    """Candidates (x, y) of different components, from rows of (key, node, root).
+
+    Only buckets that hold several components count. A pair is made in the least of the
+    buckets it shares, and only if the longer signatures leave it a chance.
+    """
+    keys = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    mixed = stage(placed.join(keys.where("lo <> hi").select("key"), "key"), "mixed")
+    per_node = mixed.groupBy("node").agg(F.collect_set("key").alias("keys"))
+    fine = fine_lanes(per_node.select("node"), docs, nodes, size)
+    full = stage(mixed.join(per_node.join(fine, "node"), "node"), "fine")
+    similar = estimate("a", "b", _FINE, FINE_HASHES, FINE_BITS) >= cut(
+        percent, FINE_HASHES, FINE_BITS, 5
+    )
+    return (
+        full.alias("a")
+        .join(
+            full.alias("b"),
+            (F.col("a.key") == F.col("b.key"))
+            & (F.col("a.node") < F.col("b.node"))
+            & (F.col("a.root") != F.col("b.root"))
+            & similar
+            & (F.array_min(F.array_intersect("a.keys", "b.keys")) == F.col("a.key")),
+        )
+        .select(F.col("a.node").alias("x"), F.col("b.node").alias("y"))
+    )
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """Groups of documents linked by 100 * |A and B| >= percent * |A or B|.
 
@@ -210,11 +265,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     best = members.groupBy("key").agg(
         F.max(F.struct("weight", "node", *lanes)).alias("best")
     )
+    likely = estimate("a", "b", lanes, HASHES, BITS) >= cut(percent, HASHES, BITS, 6)
     stars = (
         members.alias("a")
         .join(best.select("key", F.col("best").alias("b")), "key")
         .where(F.col("a.node") != F.col("b.node"))
-        .where(estimate("a", "b") >= cut(percent))
+        .where(likely)
         .select(
             F.least("a.node", "b.node").alias("x"), F.greatest("a.node", "b.node").alias("y")
         )
@@ -223,26 +279,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     stars = stage(stars, "stars")
     linked = stage(confirm(stars, docs, nodes, shingle, percent), "links")
     roots = components(linked)
-    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = stage(placed.select("key", "node", "root", *lanes), "placed")
-    mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    mixed = stage(placed.join(mixed.where("lo <> hi").select("key"), "key"), "mixed")
-    rest = (
-        mixed.alias("a")
-        .join(
-            mixed.alias("b"),
-            (F.col("a.key") == F.col("b.key"))
-            & (F.col("a.node") < F.col("b.node"))
-            & (F.col("a.root") != F.col("b.root"))
-            & (estimate("a", "b") >= cut(percent)),
-        )
-        .select(F.col("a.node").alias("x"), F.col("b.node").alias("y"))
-        .distinct()
-    )
+    placed = members.select("key", "node").join(roots, "node", "left")
+    placed = stage(placed.withColumn("root", F.coalesce("root", "node")), "placed")
+    rest = bridges(placed, docs, nodes, shingle, percent)
     rest = stage(rest.join(stars, ["x", "y"], "left_anti"), "rest")
     if not rest.isEmpty():
         more = stage(confirm(rest, docs, nodes, shingle, percent), "links")
-        roots = components(linked.unionByName(more))
+        if not more.isEmpty():
+            roots = components(linked.unionByName(more))
     grouped = nodes.select(
         "node", F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "text_key").alias("head")
     ).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

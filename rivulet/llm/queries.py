@@ -12,6 +12,7 @@ import public_tokenizers
 from rivulet.llm.common import documents
 from rivulet.llm.decontaminate import find_items
 from rivulet.llm.language_id import identify
+from rivulet.llm.line_dedup import drop_shared_lines
 from rivulet.llm.mixing import mix_sizes
 from rivulet.llm.near_dedup import near_duplicates
 from rivulet.llm.quality import score_documents
@@ -34,6 +35,34 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query(
+    """with lines as (
+  select doc_id, text, source, unnest(string_split(text, chr(10))) as line,
+    unnest(range(len(string_split(text, chr(10))))) as pos
+  from documents where text is not null
+), bare as (
+  select *, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) as key from lines
+), shared as (
+  select key from bare where key <> '' group by key
+  having count(distinct coalesce('s' || source, 'n')) >= 10
+), kept as (
+  select doc_id, count(*) as n_lines, count(*) filter (s.key is not null) as n_removed,
+    string_agg(line, chr(10) order by pos) filter (s.key is null) as kept
+  from bare b left join shared s on b.key = s.key group by doc_id
+)
+select d.doc_id, coalesce(n_lines, 0) as n_lines,
+  case when 2 * length(coalesce(kept, '')) >= length(text) then n_removed else 0 end as n_removed,
+  case when 2 * length(coalesce(kept, '')) >= length(text) then coalesce(kept, '') else text end as text
+from documents d left join kept k on d.doc_id = k.doc_id"""
+)
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that ten sources or more share."""
+    found = drop_shared_lines(documents(spark, sf_dir), "source", 10)
+    return found.select(
+        "doc_id", "n_lines", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), "text"
+    )
+
+
 @query()
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, score and verdict of every document."""
