@@ -33,6 +33,21 @@ def words(text: Column) -> Column:
     )
 
 
+def text_key(column: str) -> Column:
+    """Digest that tells texts apart; a null text has that of the empty one."""
+    return F.md5(F.coalesce(F.col(column), F.lit("")).cast("binary"))
+
+
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """`docs` without the rows whose (doc_id, text_key) is in the staged frame `gone`."""
+    return docs.alias("d").join(
+        small(gone).alias("g"),
+        F.col("d.doc_id").cast("long").eqNullSafe(F.col("g.doc_id"))
+        & (text_key("d.text") == F.col("g.text_key")),
+        "left_anti",
+    )
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body` of a value that is computed once, also when `body` reads it in a lambda."""
     return F.element_at(F.transform(F.array(value), body), 1)

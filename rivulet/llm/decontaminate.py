@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import parts
-from rivulet.llm.words import Words, digest, grams, mix
+from rivulet.llm.common import parts, text_key, without_rows
+from rivulet.llm.words import Words, grams, mix
 from rivulet.util import stage
 
 RADIUS = 23
@@ -127,7 +127,7 @@ def item_groups(rows: list[tuple[int, str]], shingle: int) -> list[Items]:
     return [Items(*by_size[size], size) for size in sorted(by_size)]
 
 
-_FOUND = "doc_id long, text_key binary, item_id long, similarity double, start long, n_words long"
+_FOUND = "doc_id long, text_key string, item_id long, similarity double, start long, n_words long"
 
 
 def find_items(docs: DataFrame, items: DataFrame, shingle: int = 5, percent: int = 80):
@@ -135,7 +135,7 @@ def find_items(docs: DataFrame, items: DataFrame, shingle: int = 5, percent: int
 
     `docs` needs `doc_id` and `text`, `items` needs `item_id` and `text`; other columns are
     not looked at. Words are lower-cased in A-Z. An item with fewer words than a shingle is
-    one shingle of its own length. Returns doc_id, text_key (digest of the words), item_id,
+    one shingle of its own length. Returns doc_id, text_key (md5 of the text), item_id,
     similarity, and start and n_words of the best window (the first of equals).
 
     Defined cases: items and documents that are null or have no words match nothing; a row
@@ -168,7 +168,7 @@ def _search(docs: DataFrame, shared, shingle: int, percent: int) -> DataFrame:
         for batch in (part for whole in batches for part in parts(whole)):
             words = Words(batch.column("text"))
             hashes = words.hashes(lower=True)
-            ids = batch.column("doc_id").to_pylist()
+            ids, keys = batch.column("doc_id"), batch.column("text_key")
             out: list[tuple] = []
             for items in groups:
                 runs = grams(hashes, items.size)
@@ -179,16 +179,23 @@ def _search(docs: DataFrame, shared, shingle: int, percent: int) -> DataFrame:
                 first = np.minimum(words.first[:-1], len(runs))
                 last = np.minimum(np.maximum(words.first[1:] - items.size + 1, first), len(runs))
                 for i in np.flatnonzero(marked[last] - marked[first] >= least):
-                    key = None
+                    row = ids[i].as_py(), keys[i].as_py()
                     for j, n, joint, t in items.search(runs[first[i] : last[i]], percent):
-                        key = key or digest(hashes[words.first[i] : words.first[i + 1]])
-                        out.append((ids[i], key, items.ids[j], n / joint, t, items.lengths[j]))
+                        out.append((*row, items.ids[j], n / joint, t, items.lengths[j]))
             columns = list(zip(*out, strict=True)) or [()] * 6
-            kinds = (pa.int64(), pa.binary(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
+            kinds = (pa.int64(), pa.string(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)],
                 names=["doc_id", "text_key", "item_id", "similarity", "start", "n_words"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", text_key("text").alias("text_key")
+    )
     return rows.mapInArrow(search, _FOUND)
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+    """`docs` without the rows in which an item is found; cases as for `find_items`."""
+    found = stage(find_items(docs, items, **options).select("doc_id", "text_key").distinct(), "found")
+    return without_rows(docs, found)

@@ -154,14 +154,16 @@ def frequencies(files: DataFrame, templates) -> dict[str, int]:
 def scan_files(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """Rows of (file_id, repo, path, text) with `own` (license or null) and `score`."""
     spark = files.sparkSession
-    model = Templates(templates, frequencies(files, templates), files.count(), threshold)
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(
+        (templates, frequencies(files, templates), files.count(), threshold)
+    )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Templates(*shared.value)
         for batch in batches:
             whole = batch.column("whole").to_pylist()
             found = [
-                shared.value.scan(text.as_py() or "", bool(w))
+                model.scan(text.as_py() or "", bool(w))
                 for text, w in zip(batch.column("text"), whole, strict=True)
             ]
             own = pa.array([f[0] for f in found], pa.string())

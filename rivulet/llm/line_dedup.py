@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import let, small
-from rivulet.llm.near_dedup import text_key
+from rivulet.llm.common import let, small, text_key
 from rivulet.util import stage
 
 MIN_SITES = 10

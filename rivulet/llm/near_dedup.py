@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import arrow_map, components, small
+from rivulet.llm.common import arrow_map, components, small, text_key, without_rows
 from rivulet.llm.words import Words, digest, grams, mix, signed
 from rivulet.util import stage
 
@@ -107,10 +107,6 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     return arrow_map(rows, sign, _SIGNED)
 
 
-def text_key(column: str) -> Column:
-    return F.md5(F.coalesce(F.col(column), F.lit("")).cast("binary"))
-
-
 def estimate(a: str, b: str, names: list[str], hashes: int, bits: int) -> Column:
     """Similarity from the share of equal low bits, corrected for chance."""
     ones = sum(1 << k for k in range(0, 64, bits))
@@ -310,3 +306,33 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
             ).alias("chosen"),
         )
     )
+
+
+def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """`docs` with one row of each group of near-duplicates, the one that is chosen.
+
+    All columns are kept. Rows repeated with the same doc_id and text are one group too;
+    which of them stays is left open. Texts without words all stay.
+    """
+    found = stage(near_duplicates(docs, shingle, percent), "decided")
+    gone = stage(found.where("not chosen").select("doc_id", "text_key").distinct(), "gone")
+    kept = without_rows(docs, gone)
+    again = stage(
+        found.where("chosen and n_shingles > 0").groupBy("doc_id", "text_key").count()
+        .where("count > 1").drop("count"),
+        "again",
+    )
+    if again.isEmpty():
+        return kept
+    marked = kept.withColumn("_text_key", text_key("text"))
+    met = (
+        marked.alias("d").join(
+            small(again).alias("g"),
+            F.col("d.doc_id").cast("long").eqNullSafe(F.col("g.doc_id"))
+            & (F.col("d._text_key") == F.col("g.text_key")),
+            "left_semi",
+        )
+    )
+    return without_rows(kept, again).unionByName(
+        met.dropDuplicates(["doc_id", "_text_key"]).drop("_text_key")
+    )

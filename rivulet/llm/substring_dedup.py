@@ -32,8 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import arrow_map
-from rivulet.llm.near_dedup import text_key
+from rivulet.llm.common import arrow_map, text_key
 from rivulet.llm.words import Words, digest, grams, long_grams, mix, signed
 from rivulet.util import stage
 
