@@ -1,0 +1,28 @@
+import pytest
+
+from check_queries import compare, tables
+from rivulet.llm.queries import QUERIES, SQL
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def con():
+    return tables(SF_DIR)
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_equals_its_sql(spark, con, name):
+    said = compare(spark, con, SF_DIR, name, QUERIES[name], SQL[name])
+    assert said.startswith("ok"), said
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
+def test_query_returns_every_document(spark, name):
+    rows = QUERIES[name](spark, SF_DIR)
+    assert rows.count() == 200 or name == "op7_decontaminate"
+    assert "doc_id" in rows.columns
+
+
+def test_ten_operators():
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
