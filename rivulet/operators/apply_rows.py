@@ -13,6 +13,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from rivulet.operators.ordered import (
     BROADCAST_ROWS,
@@ -23,8 +24,8 @@ from rivulet.operators.ordered import (
     running,
     slice_groups,
 )
-from rivulet.operators.routing import overlay, project
-from rivulet.util import stage
+from rivulet.operators.routing import bad_fields, overlay, project
+from rivulet.util import null_safe, stage
 
 # Changes of one key that may be gathered in one array, and the most slices that the log
 # of larger keys is cut into.
@@ -60,12 +61,23 @@ class Modes:
                 raise ValueError(f"{name} must be one of {values}")
 
 
-def changes_from(routed: DataFrame, columns: dict[str, str], seq: Column) -> DataFrame:
+def changes_from(
+    routed: DataFrame, columns: dict[str, str], seq: Column, keys: list[str] | None = None
+) -> DataFrame:
     """Change frame of routed envelopes for a table with these columns and types.
 
-    Fields missing from an update's `old` are taken from its after image.
+    Fields missing from an update's `old` are taken from its after image. Values that do
+    not fit their type are NULL; with `keys`, changes whose key holds such a value are left
+    out, so that they do not meet under a NULL key. `rejected_rows` lists both kinds.
     """
     images = routed.where(F.col("action").isin("insert", "update", "delete"))
+    if keys:
+        held = {k: columns[k] for k in keys}
+        bad = F.size(bad_fields(F.col("data"), held)) > 0
+        if "old" in routed.columns:
+            changed = F.size(bad_fields(F.col("old"), held)) > 0
+            bad = bad | ((F.col("action") == "update") & changed)
+        images = images.where(~bad)
     old = F.when(
         F.col("action") == "update",
         F.struct(*project(overlay(F.col("data"), F.col("old")), columns)),
@@ -78,6 +90,13 @@ def changes_from(routed: DataFrame, columns: dict[str, str], seq: Column) -> Dat
     )
 
 
+def rejected_rows(routed: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Envelopes with values that do not fit their column's type, and `bad`, the names."""
+    images = routed.where(F.col("action").isin("insert", "update", "delete"))
+    bad = F.array_union(bad_fields(F.col("data"), columns), bad_fields(F.col("old"), columns))
+    return images.withColumn("bad", bad).where(F.size("bad") > 0)
+
+
 def _key_columns(keys: list[str], image: str = "row") -> list[Column]:
     return [F.col(image)[k].alias(k) for k in keys]
 
@@ -118,7 +137,8 @@ def apply_replace(
     live = last.where(F.col("op") != "delete").select("row.*")
     if base is None:
         return live
-    untouched = base.join(last.select(*keys), keys, "left_anti")
+    changed = last.select(*keys)
+    untouched = base.join(changed, null_safe(base, changed, keys), "left_anti")
     return untouched.select(*live.columns).unionByName(live)
 
 
@@ -191,13 +211,22 @@ def duplicate_inserts(
     return seen.where(bad).select(*keys, "seq")
 
 
-def split_key_changes(changes: DataFrame, keys: list[str]) -> DataFrame:
-    """Turn an update that changes the key into a delete of the old row and an insert of
-    the new one. The insert does not wait for the delete to match."""
+def _moved(keys: list[str]) -> Column:
+    """Whether a change is an update that changes the key."""
     moved = F.lit(False)
     for key in keys:
         moved = moved | ~F.col("old")[key].eqNullSafe(F.col("row")[key])
-    moves = (F.col("op") == "update") & F.col("old").isNotNull() & moved
+    return (F.col("op") == "update") & F.col("old").isNotNull() & moved
+
+
+def _moves_keys(changes: DataFrame, keys: list[str]) -> bool:
+    return "old" in changes.columns and not changes.where(_moved(keys)).isEmpty()
+
+
+def split_key_changes(changes: DataFrame, keys: list[str]) -> DataFrame:
+    """Turn an update that changes the key into a delete of the old row and an insert of
+    the new one. The insert does not wait for the delete to match."""
+    moves = _moved(keys)
     none = F.lit(None).cast(changes.schema["old"].dataType)
 
     def one(op: Column, row: Column, old: Column) -> Column:
@@ -276,8 +305,16 @@ _EXACT = {
 }
 
 
-def _digest(row: str) -> Column:
-    return F.sha2(F.to_json(F.col(row), _EXACT), 256)
+def _digest(row: str, types: StructType) -> Column:
+    """Digest under which rows are equal as by `<=>`: 0.0 and -0.0 are the same."""
+    fields = []
+    for field in types.fields:
+        value = F.col(row)[field.name]
+        if isinstance(field.dataType, DoubleType | FloatType):
+            value = F.when(value == 0, F.lit(0.0).cast(field.dataType)).otherwise(value)
+        fields.append(value.alias(field.name))
+    same = F.when(F.col(row).isNotNull(), F.struct(*fields))
+    return F.sha2(F.to_json(same, _EXACT), 256)
 
 
 def _entries(log: DataFrame, keys: list[str], modes: Modes) -> DataFrame:
@@ -287,7 +324,8 @@ def _entries(log: DataFrame, keys: list[str], modes: Modes) -> DataFrame:
         return F.struct(need.alias("need"), give.alias("give"))
 
     absent, live, error = F.lit(_ABSENT), F.lit(_ANY_LIVE), F.lit(_ERROR)
-    row = _digest("row")
+    types = log.schema["row"].dataType
+    row = _digest("row", types)
     always = F.array(entry(absent, row), entry(live, row))
     inserts = {
         "native": F.array(entry(absent, row), entry(live, error)),
@@ -298,7 +336,7 @@ def _entries(log: DataFrame, keys: list[str], modes: Modes) -> DataFrame:
     if modes.umode == "replace":
         updates = always
     else:
-        updates = F.array(entry(live if by_key else _digest("old"), row))
+        updates = F.array(entry(live if by_key else _digest("old", types), row))
     deletes = F.array(entry(live if by_key else row, absent))
     made = (
         F.when(F.col("op") == "insert", inserts)
@@ -425,7 +463,8 @@ def _replay_hot(
     """Replay keys with more than `cap` changes, spreading each over many tasks."""
     small = hot.groups <= BROADCAST_ROWS
     owners = hot.frame
-    columns = log.schema["row"].dataType.fieldNames()
+    types = log.schema["row"].dataType
+    columns = types.fieldNames()
     if base is None:
         held = None
         start = owners.withColumn("value", F.lit(_ABSENT))
@@ -433,7 +472,7 @@ def _replay_hot(
         held = base.join(hot.hint()(owners), keys, "left_semi").select(
             *keys, F.struct(*columns).cast(log.schema["row"].dataType).alias("row")
         )
-        start = owners.join(held.select(*keys, _digest("row").alias("value")), keys, "left").withColumn(
+        start = owners.join(held.select(*keys, _digest("row", types).alias("value")), keys, "left").withColumn(
             "value", F.coalesce("value", F.lit(_ABSENT))
         )
     state = stage(start.withColumn("value_seq", F.lit(_BASE_SEQ).cast("bigint")), "hot-state")
@@ -500,7 +539,8 @@ def apply_changes(
     if modes.match == "key" and modes.imode == modes.umode == "replace":
         return apply_replace(base, changes, keys, modes.dmode)
     if modes.match == "key" and modes.imode == "ignore" and modes.umode == "native":
-        return apply_ignore(base, changes, keys, modes.dmode)
+        if not _moves_keys(changes, keys):
+            return apply_ignore(base, changes, keys, modes.dmode)
     return apply_fold(base, changes, keys, modes)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rivulet.operators.gtid import covered
 from rivulet.operators.ordered import GROUP_CAP, join_on_keys, running, small
+from rivulet.util import stage
 
 
 def _with_position(df: DataFrame, keys: list[str], positions: DataFrame | None) -> DataFrame:
@@ -100,7 +101,10 @@ def gate_alignment(
     keys = [server] if server else ["_log"]
     base = log if server else log.withColumn("_log", F.lit(0))
     flagged = covered(base, intervals, sid, gno, cap=cap)
-    first = flagged.where(~F.col("covered")).groupBy(*keys).agg(F.min(seq).alias("_aligned"))
+    first = stage(
+        flagged.where(~F.col("covered")).groupBy(*keys).agg(F.min(seq).alias("_aligned")),
+        "aligned",
+    )
     joined = join_on_keys(base.withColumn("_new", is_new_table), small(first), keys)
     kept = joined.where(~F.col("_new") | (F.col(seq) >= F.col("_aligned")))
     return kept.select(*log.columns)

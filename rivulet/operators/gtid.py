@@ -50,9 +50,10 @@ def covered(
 ) -> DataFrame:
     """Add `covered`: whether the transaction (sid, gno) lies in an interval of the set.
 
-    Intervals of one sid must not overlap. A set with few intervals per sid is broadcast
-    and range-joined; any other is merged with the transactions in (sid, gno) order,
-    where the greatest interval end so far decides, so no pairs are formed.
+    Intervals may overlap and repeat. A set with few intervals per sid is broadcast with
+    one row per sid, whose intervals are searched; any other is merged with the
+    transactions in (sid, gno) order, where the greatest interval end so far decides. Both
+    keep every row once.
     """
     spans = intervals.select(
         F.col("sid").alias("_sid"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi")
@@ -60,9 +61,13 @@ def covered(
     sizes = spans.groupBy("_sid").agg(F.count(F.lit(1)).alias("_n"))
     total, most = sizes.agg(F.sum("_n"), F.max("_n")).first()
     if (total or 0) <= BROADCAST_ROWS and (most or 0) <= spans_per_sid:
-        inside = (F.col(sid) == F.col("_sid")) & F.col(gno).between(F.col("_lo"), F.col("_hi"))
-        joined = df.join(F.broadcast(spans), inside, "left")
-        return joined.select(*df.columns, F.col("_sid").isNotNull().alias("covered"))
+        lists = spans.groupBy("_sid").agg(
+            F.collect_list(F.struct("_lo", "_hi")).alias("_spans")
+        )
+        joined = df.join(F.broadcast(lists), F.col(sid) == F.col("_sid"), "left")
+        number = F.col(gno)
+        inside = F.exists("_spans", lambda s: number.between(s["_lo"], s["_hi"]))
+        return joined.select(*df.columns, F.coalesce(inside, F.lit(False)).alias("covered"))
 
     # An interval start sorts before a transaction with the same number.
     starts = spans.select(

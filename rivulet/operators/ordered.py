@@ -134,13 +134,8 @@ def slice_groups(
 
 
 def _combine(kind: str, carry: Column, local: Column) -> Column:
-    if kind == "sum":
-        return F.coalesce(carry, F.lit(0)) + F.coalesce(local, F.lit(0))
-    return (
-        F.when(carry.isNull(), local)
-        .when(local.isNull(), carry)
-        .otherwise(F.greatest(carry, local))
-    )
+    both = carry + local if kind == "sum" else F.greatest(carry, local)
+    return F.when(carry.isNull(), local).when(local.isNull(), carry).otherwise(both)
 
 
 def running(
@@ -155,7 +150,7 @@ def running(
     """Add running `max` or `sum` columns per group in `seq` order.
 
     `values` maps a new column to (kind, expression). Without `inclusive` a row sees
-    only the rows before it.
+    only the rows before it. A row that sees no value gets NULL, for sums too.
     """
     check_batch(df, "a running aggregate")
     cut = sliced or slice_groups(df, keys, seq, cap)

@@ -121,12 +121,30 @@ def before_image(df: DataFrame) -> DataFrame:
     return df.withColumn("before", overlay(F.col("data"), F.col("old")))
 
 
+def _typed(data: Column, name: str, kind: str) -> Column:
+    text = F.try_element_at(data, F.lit(name))
+    # payloads carry bytes as base64
+    return b64_decode(text) if kind.lower() == "binary" else text.try_cast(kind)
+
+
 def project(data: Column, columns: dict[str, str]) -> list[Column]:
-    """Typed columns of a payload map; a missing field or bad value is NULL."""
-    return [
-        F.try_element_at(data, F.lit(name)).try_cast(kind).alias(name)
+    """Typed columns of a payload map; a missing field or bad value is NULL.
+
+    A BINARY column is decoded from base64, an empty text to no bytes.
+    """
+    return [_typed(data, name, kind).alias(name) for name, kind in columns.items()]
+
+
+def bad_fields(data: Column, columns: dict[str, str]) -> Column:
+    """Names of the fields that hold a value which does not fit the type."""
+    names = [
+        F.when(
+            F.try_element_at(data, F.lit(name)).isNotNull() & _typed(data, name, kind).isNull(),
+            F.lit(name),
+        )
         for name, kind in columns.items()
     ]
+    return F.array_compact(F.array(*names))
 
 
 def _repair(df: DataFrame, names: list[str], fix) -> DataFrame:

@@ -19,7 +19,7 @@ from rivulet.operators.envelope import (
     encode_messages,
     snapshot_envelopes,
 )
-from rivulet.operators.gates import gate_alignment, gate_rows
+from rivulet.operators.gates import gate_alignment, gate_offsets, gate_rows
 from rivulet.operators.routing import (
     keep_tables,
     resolve_document_target,
@@ -95,7 +95,7 @@ class Pipeline:
         """The target table after the messages; tables are resolved one by one."""
         routed = self.routed_rows(messages, forced).where(F.col("target") == target)
         order = F.col("m_offset") if seq is None else seq
-        return apply_changes(base, changes_from(routed, columns, order), keys, modes)
+        return apply_changes(base, changes_from(routed, columns, order, keys), keys, modes)
 
     def apply_documents(
         self,
@@ -184,6 +184,8 @@ def read_tables(
             is_new = F.concat_ws(".", "database", "table").isin(*new)
             followed = gate_alignment(followed, executed, is_new)
         followed = gate_rows(followed, ["database", "table"], positions=start)
+        if "row_no" in followed.columns:
+            followed = gate_offsets(followed, ["database", "table"], start)
     parts = [
         snapshot_envelopes(snapshots[name], *name.split("."), snapshot_ts)
         for name in (new if bootstrap else [])

@@ -346,7 +346,7 @@ _ORDER_CHANGES = """ch as (select o_custkey as k, o_orderkey as seq,
   case when o_orderkey % 10 < 3 then 'insert' when o_orderkey % 10 < 8 then 'update' else 'delete' end as op,
   nullif(cast(floor(o_totalprice) as bigint) % 4, 0) as state,
   nullif(cast(floor(o_totalprice) as bigint) % 3, 0) as old from orders),
-base as (select c_custkey as k, nullif(c_nationkey % 3, 0) as state from customer where c_acctbal > 0),
+base as (select c_custkey as k, nullif(c_nationkey % 3, 0) as state from customer),
 ranked as (select *, row_number() over (partition by k order by seq) as rn from ch),
 keys as (select k from base union select k from ch)"""
 

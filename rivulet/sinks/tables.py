@@ -14,6 +14,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm_path)
 
 
+_DEFINITION = "buckets INT, keys ARRAY<STRING>, columns STRING, levels ARRAY<STRING>"
+
+
+def _free_name(name: str, columns: set[str]) -> str:
+    """The name, with a prefix if it is a column."""
+    while name in columns:
+        name = f"_c{name}"
+    return name
+
+
 class BucketedTable:
     """A keyed table of parquet files, cut into hash buckets.
 
@@ -21,6 +31,11 @@ class BucketedTable:
     and a commit record then makes them current. A failed batch leaves the table as it
     was, and a batch that is replayed after its commit is skipped. Choose `buckets` so
     that one bucket fits a task.
+
+    The number of buckets, the keys, the schema and the names of the two folder levels are
+    stored with the table when it is first written. A table that is opened again keeps its
+    stored number of buckets; other keys or columns are refused. The folder levels are
+    named so that they clash with no column.
     """
 
     def __init__(
@@ -29,13 +44,43 @@ class BucketedTable:
         self.spark = spark
         self.data = f"{path}/data"
         self.commits = f"{path}/commits"
+        self.definition = f"{path}/definition"
         self.schema = schema
         self.keys = keys
         self.buckets = buckets
+        columns = {c.lower() for c in spark.createDataFrame([], schema).columns}
+        self.levels = [_free_name("bucket", columns), _free_name("v", columns)]
+        self._open()
+
+    def _described(self) -> str:
+        return self.spark.createDataFrame([], self.schema).schema.json()
+
+    def _open(self) -> bool:
+        """Take over the stored definition, if there is one."""
+        if not _exists(self.spark, self.definition):
+            return False
+        stored = self.spark.read.schema(_DEFINITION).parquet(self.definition).first()
+        if stored is None:
+            return False
+        if list(stored["keys"]) != list(self.keys) or stored["columns"] != self._described():
+            raise ValueError(f"the table at {self.data} has other keys or columns")
+        self.buckets = stored["buckets"]
+        self.levels = list(stored["levels"])
+        return True
+
+    def _define(self) -> None:
+        if not self._open():
+            row = (self.buckets, self.keys, self._described(), self.levels)
+            self.spark.createDataFrame([row], _DEFINITION).coalesce(1).write.mode(
+                "overwrite"
+            ).parquet(self.definition)
 
     def bucket(self, *keys) -> F.Column:
         return F.pmod(F.xxhash64(*(keys or self.keys)), F.lit(self.buckets)).cast("int")
 
+    def _folder(self, bucket: int, batch: int) -> str:
+        return f"{self.data}/{self.levels[0]}={bucket}/{self.levels[1]}={batch}"
+
     def _log(self) -> DataFrame | None:
         if not _exists(self.spark, self.commits):
             return None
@@ -59,7 +104,7 @@ class BucketedTable:
                 F.max("batch").alias("batch"), F.max_by("has_rows", "batch").alias("has_rows")
             )
             paths = [
-                f"{self.data}/bucket={r['bucket']}/v={r['batch']}"
+                self._folder(r["bucket"], r["batch"])
                 for r in latest.where("has_rows").collect()
             ]
         reader = self.spark.read.schema(self.schema)
@@ -75,21 +120,23 @@ class BucketedTable:
         last = self.last_batch()
         if last is not None and batch <= last:
             return False
+        self._define()
         touched = [
             r[0] for r in key_rows.select(self.bucket().alias("b")).distinct().collect()
         ]
         if touched:
             rows = change(self.read(touched))
+            level, version = self.levels
             (
-                rows.withColumns({"bucket": self.bucket(), "v": F.lit(batch)})
-                .repartition("bucket")
+                rows.withColumns({level: self.bucket(), version: F.lit(batch)})
+                .repartition(level)
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("bucket", "v")
+                .partitionBy(level, version)
                 .parquet(self.data)
             )
         done = [
-            (b, _exists(self.spark, f"{self.data}/bucket={b}/v={batch}")) for b in touched
+            (b, _exists(self.spark, self._folder(b, batch))) for b in touched
         ] or [(-1, False)]
         record = self.spark.createDataFrame(done, "bucket INT, has_rows BOOLEAN")
         record.coalesce(1).write.mode("overwrite").parquet(f"{self.commits}/batch={batch}")

@@ -23,17 +23,20 @@ def broker_options(
     topics: str | list[str],
     earliest: bool = True,
     tokens: DataFrame | None = None,
-    per_trigger: int = BUFFER_MESSAGES,
+    per_trigger: int | None = None,
 ) -> dict[str, str]:
     """Options of the broker source. Stored tokens decide where a reader starts; without
-    them it starts at the earliest or the latest message."""
+    them it starts at the earliest or the latest message. `per_trigger` bounds the messages
+    of a micro-batch, such as to BUFFER_MESSAGES; by default there is no bound."""
     start = starting_offsets(tokens) if tokens is not None else None
-    return {
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topic_list(topics)),
         "startingOffsets": start or ("earliest" if earliest else "latest"),
-        "maxOffsetsPerTrigger": str(per_trigger),
     }
+    if per_trigger is not None:
+        options["maxOffsetsPerTrigger"] = str(per_trigger)
+    return options
 
 
 def read_broker(
@@ -42,9 +45,9 @@ def read_broker(
     """Messages of a broker; needs Spark's Kafka connector on the class path."""
     options = broker_options(servers, topics, **kwargs)
     if not streaming:
-        options.pop("maxOffsetsPerTrigger")
+        options.pop("maxOffsetsPerTrigger", None)
         if options["startingOffsets"] == "latest":
-            options["startingOffsets"] = "earliest"
+            raise ValueError("a batch read cannot start at the latest message")
     reader = spark.readStream if streaming else spark.read
     raw = reader.format("kafka").options(**options).load()
     return raw.select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))

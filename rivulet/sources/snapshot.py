@@ -9,15 +9,8 @@ from pyspark.sql import functions as F
 
 
 def parquet_table(spark: SparkSession, path: str) -> DataFrame:
-    """A parquet table.
-
-    Envelope work is bound by CPU, so a table with fewer splits than there are cores (one
-    small file, say) is spread over all of them; a large table is read as it lies.
-    """
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df.repartition(cores) if splits < cores else df
+    """A parquet table, read as it lies; Spark splits large files by itself."""
+    return spark.read.parquet(path)
 
 
 def jdbc_table(

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.operators.apply_docs import apply_documents, document_changes
 from rivulet.operators.apply_rows import Modes, apply_changes, changes_from
-from rivulet.operators.envelope import decode_documents, decode_rows
+from rivulet.operators.envelope import decode_documents, decode_rows, table_key
 from rivulet.operators.progress import consumer_progress, progress_tokens
 from rivulet.operators.routing import route_documents, route_rows
 from rivulet.sinks.tables import BucketedTable
@@ -34,12 +34,15 @@ def _save_progress(store: BatchStore | None, batch: DataFrame, batch_id: int) ->
 
 
 def _start(
-    messages: DataFrame, on_batch: Callable[[DataFrame, int], None], checkpoint: str
+    messages: DataFrame,
+    on_batch: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    trigger: dict | None,
 ) -> StreamingQuery:
     return (
         messages.writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
@@ -53,22 +56,30 @@ def apply_rows_stream(
     seq: Column | None = None,
     progress: BatchStore | None = None,
     repair: Callable[[DataFrame], DataFrame] | None = None,
+    table: str | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Replay relational messages onto a table, batch by batch, until drained.
-
-    `seq` orders the changes of a key within a batch (the message offset by default) and
-    `repair` may fix payload types. Progress is saved after the target has committed, and
-    the target skips a batch it already holds, so nothing is lost or applied twice.
+    """Replay relational messages onto a table, batch by batch.
+
+    With `table` (`db.table`) only its messages are applied; without it, all are, whatever
+    table they name. `seq` orders the changes of a key within a batch (the message offset
+    by default) and `repair` may fix payload types. Progress is saved after the target has
+    committed, and the target skips a batch it already holds, so nothing is lost or applied
+    twice. `trigger` holds options of Spark's trigger, such as {"processingTime": "5 seconds"}
+    to run until stopped; by default the stream ends when it is drained.
     """
     order = F.col("m_offset") if seq is None else seq
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         envelopes = decode_rows(batch)
+        if table is not None:
+            own = table_key(F.col("database"), F.col("table"))
+            envelopes = envelopes.where(own == F.lit(table))
         routed = route_rows(repair(envelopes) if repair else envelopes)
         # Kept, so that messages are parsed once; lost blocks are parsed again.
-        changes = changes_from(routed, columns, order).persist()
+        changes = changes_from(routed, columns, order, target.keys).persist()
         touched = changes.select(*[F.col("row")[k].alias(k) for k in target.keys])
-        if modes.match == "row":
+        if modes.match == "row" or modes.umode == "native":
             moved = changes.where(F.col("old").isNotNull())
             touched = touched.unionByName(
                 moved.select(*[F.col("old")[k].alias(k) for k in target.keys])
@@ -81,7 +92,7 @@ def apply_rows_stream(
             changes.unpersist()
         _save_progress(progress, batch, batch_id)
 
-    return _start(messages, on_batch, checkpoint)
+    return _start(messages, on_batch, checkpoint, trigger)
 
 
 def apply_documents_stream(
@@ -90,8 +101,9 @@ def apply_documents_stream(
     checkpoint: str,
     seq: Column | None = None,
     progress: BatchStore | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Replay document messages onto a collection, batch by batch, until drained."""
+    """Replay document messages onto a collection, batch by batch; by default until drained."""
     order = F.col("m_offset") if seq is None else seq
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
@@ -104,4 +116,4 @@ def apply_documents_stream(
             changes.unpersist()
         _save_progress(progress, batch, batch_id)
 
-    return _start(messages, on_batch, checkpoint)
+    return _start(messages, on_batch, checkpoint, trigger)

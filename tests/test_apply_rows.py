@@ -176,8 +176,8 @@ def test_bag_keeps_duplicates_and_reports_missing_rows(spark):
 
 def account_changes(spark, messages):
     routed = route_rows(decode_rows(as_messages(spark, messages)))
-    one = resolve_row_target(routed, "statistics", "StarUser", forced=True)
-    assert {r[0] for r in one.select("target").distinct().collect()} == {"statistics.StarUser"}
+    one = resolve_row_target(routed, "reports", "Patron", forced=True)
+    assert {r[0] for r in one.select("target").distinct().collect()} == {"reports.Patron"}
     return changes_from(one, ACCOUNT_COLUMNS, F.col("m_offset"))
 
 
@@ -186,8 +186,8 @@ def test_sample_messages_replayed_by_key(spark):
     got = apply_replace(None, changes, ["id"]).orderBy("id").collect()
     assert [int(r["id"]) for r in got] == [2, 4, 5, 6]
     five = got[2]
-    assert int(five["person_id"]) == 5
-    assert str(five["updated_time"]) == "2019-05-20 15:05:05"
+    assert int(five["sponsor_id"]) == 5
+    assert str(five["changed_at"]) == "2031-03-06 15:05:05"
 
 
 def test_sample_messages_replayed_by_before_image(spark):
@@ -195,7 +195,7 @@ def test_sample_messages_replayed_by_before_image(spark):
     got = apply_fold(None, changes, ["id"]).orderBy("id").collect()
     # The delete of id 1 shows the row before its update, so it matches nothing.
     assert [int(r["id"]) for r in got] == [1, 2, 4, 5, 6]
-    assert got[0]["name"] == "hello" and int(got[0]["person_id"]) == 1
+    assert got[0]["name"] == "alder" and int(got[0]["sponsor_id"]) == 1
 
 
 def test_hot_rows_that_differ_in_microseconds_only(spark):

@@ -70,7 +70,7 @@ def test_document_messages(spark):
         event("bootstrap-start", None),
         event("bootstrap-insert", "5d01", first),
         event("bootstrap-complete", None),
-        event("insert", {"_id": "5d02"}, {"_id": "5d02", "type": "8", "mobile": ""}),
+        event("insert", {"_id": "5d02"}, {"_id": "5d02", "type": "8", "phone": ""}),
         event("update", {"_id": "5d01"}, {"is_login": 0, "os": None, "tags": ["a"]}),
         event("replace", {"_id": "5d02"}, {"type": "9"}),
         event("drop", None),
@@ -87,15 +87,15 @@ def test_document_messages(spark):
     assert rows[3]["target"] == "reporting.events" and rows[8]["target"] == "lib.docs"
     assert documents(apply_documents(None, document_changes(routed, F.col("m_offset")))) == {
         "5d01": {**first, "is_login": "0", "os": None, "tags": '["a"]'},
-        "5d02": {"_id": "5d02", "type": "9", "mobile": ""},
+        "5d02": {"_id": "5d02", "type": "9", "phone": ""},
     }
 
 
 def test_rows_into_documents(spark):
     routed = route_rows(decode_rows(as_messages(spark, INSERTS + UPDATES + DELETES)))
     one = documents(apply_documents(None, row_changes_as_documents(routed, ["id"], F.col("m_offset"))))
-    assert sorted(one) == ["2", "4", "5", "6"] and one["5"]["person_id"] == "5"
+    assert sorted(one) == ["2", "4", "5", "6"] and one["5"]["sponsor_id"] == "5"
     two = documents(
-        apply_documents(None, row_changes_as_documents(routed, ["id", "mobile"], F.col("m_offset")))
+        apply_documents(None, row_changes_as_documents(routed, ["id", "phone"], F.col("m_offset")))
     )
     assert json.loads(min(two)) == ["2", "22222"]

@@ -18,7 +18,7 @@ from rivulet.schemas import ROWS_EVENT
 from tests.fixtures import DELETES, INSERTS, UPDATES, as_messages
 from tests.replay import replay_batches, replay_runs
 
-ROW = (1, "a", decimal.Decimal("1.50"), datetime.date(2019, 5, 18), datetime.datetime(2019, 5, 18, 17, 59, 59, 250000),
+ROW = (1, "a", decimal.Decimal("1.50"), datetime.date(2031, 3, 4), datetime.datetime(2031, 3, 4, 17, 59, 59, 250000),
        b"\x00\xff", None, {"x": [1, None]})
 TYPES = ("id INT, name STRING, price DECIMAL(10,2), day DATE, at TIMESTAMP_NTZ, raw BINARY, "
          "none STRING, nested STRUCT<x: ARRAY<INT>>")
@@ -31,8 +31,8 @@ def test_snapshot_messages_keep_json_types(spark):
     assert [json.loads(r["value"]) for r in rows] == [
         {"type": "bootstrap-start", **head, "data": {}},
         {"type": "bootstrap-insert", **head, "data": {
-            "id": 1, "name": "a", "price": "1.50", "day": "2019-05-18 00:00:00",
-            "at": "2019-05-18 17:59:59", "raw": "AP8=", "none": None, "nested": {"x": [1, None]}}},
+            "id": 1, "name": "a", "price": "1.50", "day": "2031-03-04 00:00:00",
+            "at": "2031-03-04 17:59:59", "raw": "AP8=", "none": None, "nested": {"x": [1, None]}}},
         {"type": "bootstrap-complete", **head, "data": {}},
     ]
     assert {r["topic"] for r in rows} == {"shop-t"}
@@ -43,8 +43,8 @@ def test_text_payload_and_round_trip(spark):
     sent = E.encode_messages(E.snapshot_envelopes(df, "shop", "t", 7))
     got = E.decode_rows(sent).where("type = 'bootstrap-insert'").first()
     assert got["data"] == {
-        "id": "1", "name": "a", "price": "1.50", "day": "2019-05-18 00:00:00",
-        "at": "2019-05-18 17:59:59", "raw": "AP8=", "none": None, "nested": '{"x":[1,null]}',
+        "id": "1", "name": "a", "price": "1.50", "day": "2031-03-04 00:00:00",
+        "at": "2031-03-04 17:59:59", "raw": "AP8=", "none": None, "nested": '{"x":[1,null]}',
     }
     assert got["old"] is None and got["ts"] == 7
 
@@ -108,17 +108,17 @@ def test_table_filters(spark):
 
 
 def test_repairs(spark):
-    data = {"at": "2019-05-18 20:00:00", "raw": "aGk=", "empty": "", "none": None}
-    df = spark.createDataFrame([(data, {"at": "2019-05-18 10:00:00"}), (None, None)],
+    data = {"at": "2031-03-04 20:00:00", "raw": "aGk=", "empty": "", "none": None}
+    df = spark.createDataFrame([(data, {"at": "2031-03-04 10:00:00"}), (None, None)],
                                "data MAP<STRING,STRING>, old MAP<STRING,STRING>")
     shifted = R.shift_timestamps(df, ["at", "empty", "none", "absent"]).collect()
-    assert shifted[0]["data"]["at"] == "2019-05-19 04:00:00"
-    assert shifted[0]["old"]["at"] == "2019-05-18 18:00:00"
+    assert shifted[0]["data"]["at"] == "2031-03-05 04:00:00"
+    assert shifted[0]["old"]["at"] == "2031-03-04 18:00:00"
     assert shifted[0]["data"]["empty"] == "" and shifted[1]["data"] is None
     decoded = R.decode_binaries(df, ["raw", "empty", "none", "absent"]).first()
     assert {k: bytes(v) for k, v in decoded["binaries"].items()} == {"raw": b"hi"}
     over = R.before_image(df).collect()
-    assert over[0]["before"]["at"] == "2019-05-18 10:00:00" and over[1]["before"] == {}
+    assert over[0]["before"]["at"] == "2031-03-04 10:00:00" and over[1]["before"] == {}
 
 
 def test_row_targets(spark):

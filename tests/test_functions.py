@@ -83,10 +83,10 @@ def test_positions(spark):
              "[5,6]", "soon", None]
     got = values(spark, texts, R.cluster_time)
     assert [tuple(r) if r else None for r in got] == [(1560410354, 1), (7, 2), (3, 4), (5, 6), None, None]
-    df = spark.createDataFrame([(1558339701, 3)], "t BIGINT, i INT")
+    df = spark.createDataFrame([(1930000001, 3)], "t BIGINT, i INT")
     text = R.position_to_json(F.col("t"), F.col("i"))
     row = df.select(text.alias("j"), R.position_from_json(text).alias("p")).first()
-    assert row["j"] == '{"$timestamp":{"t":1558339701,"i":3}}' and tuple(row["p"]) == (1558339701, 3)
+    assert row["j"] == '{"$timestamp":{"t":1930000001,"i":3}}' and tuple(row["p"]) == (1930000001, 3)
 
 
 def test_tokens(spark):

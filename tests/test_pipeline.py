@@ -48,16 +48,16 @@ def test_consumer_targets(spark):
         as_messages(spark, INSERTS, topic="other")
     )
     modes = Modes("replace", "replace", match="key")
-    own = build_pipeline("messages", "relational", topics="v2-User")
-    got = own.apply_rows(sent, "v2.User", ACCOUNT_COLUMNS, ["id"], modes=modes)
+    own = build_pipeline("messages", "relational", topics="club-Member")
+    got = own.apply_rows(sent, "club.Member", ACCOUNT_COLUMNS, ["id"], modes=modes)
     assert sorted(int(r["id"]) for r in got.collect()) == [1, 2, 3, 4, 5, 6]
-    fixed = build_pipeline("messages", "relational", "statistics.StarUser", ["v2-User"])
+    fixed = build_pipeline("messages", "relational", "reports.Patron", ["club-Member"])
     got = fixed.apply_rows(
-        sent, "statistics.StarUser", ACCOUNT_COLUMNS, ["id"], modes=modes, forced=True
+        sent, "reports.Patron", ACCOUNT_COLUMNS, ["id"], modes=modes, forced=True
     )
     assert sorted(int(r["id"]) for r in got.collect()) == [2, 4, 5, 6]
-    docs = build_pipeline("messages", "document", topics="v2-User")
-    got = docs.apply_documents(sent, "v2.User", row_keys=["id"])
+    docs = build_pipeline("messages", "document", topics="club-Member")
+    got = docs.apply_documents(sent, "club.Member", row_keys=["id"])
     assert got.count() == 6
 
 
@@ -98,7 +98,7 @@ def test_positions(spark):
         ("a", 6, 1), ("b", 4, 1),
     ]
     counted = snapshot_counts(decode_rows(as_messages(spark, INSERTS)))
-    assert [tuple(r) for r in counted.collect()] == [("v2", "User", 4)]
+    assert [tuple(r) for r in counted.collect()] == [("club", "Member", 4)]
 
 
 def test_snapshots(spark, tmp_path):
