@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
+from rivulet.operators.key_moves import replay_moves
 from rivulet.operators.ordered import (
     BROADCAST_ROWS,
     GROUP_CAP,
@@ -223,24 +224,6 @@ def _moves_keys(changes: DataFrame, keys: list[str]) -> bool:
     return "old" in changes.columns and not changes.where(_moved(keys)).isEmpty()
 
 
-def split_key_changes(changes: DataFrame, keys: list[str]) -> DataFrame:
-    """Turn an update that changes the key into a delete of the old row and an insert of
-    the new one. The insert does not wait for the delete to match."""
-    moves = _moved(keys)
-    none = F.lit(None).cast(changes.schema["old"].dataType)
-
-    def one(op: Column, row: Column, old: Column) -> Column:
-        return F.struct(op.alias("op"), row.alias("row"), old.alias("old"))
-
-    parts = F.when(
-        moves,
-        F.array(
-            one(F.lit("delete"), F.col("old"), none), one(F.lit("insert"), F.col("row"), none)
-        ),
-    ).otherwise(F.array(one(F.col("op"), F.col("row"), F.col("old"))))
-    return changes.select("seq", F.explode(parts).alias("_c")).select("seq", "_c.*")
-
-
 def _step(modes: Modes):
     """State transition of one key for `F.aggregate`."""
 
@@ -514,13 +497,21 @@ def apply_fold(
 
     With the default modes this is the native form: an update or delete acts only if the
     current row equals its before image, NULLs included, and an insert on a live key
-    fails the job.
+    fails the job. A native update that changes the key moves the row if the old one
+    matches, and fails if the new key is live.
     """
     if "old" not in changes.columns:
         changes = changes.withColumn("old", F.lit(None).cast(changes.schema["row"].dataType))
     changes = _drop_deletes(changes, modes.dmode)
-    if modes.umode == "native":
-        changes = split_key_changes(changes, keys)
+    if modes.umode == "native" and _moves_keys(changes, keys):
+        moved, base, changes = replay_moves(base, changes, keys, modes.imode, modes.match, cap)
+        return moved.unionByName(_replay(base, changes, keys, modes, cap))
+    return _replay(base, changes, keys, modes, cap)
+
+
+def _replay(
+    base: DataFrame | None, changes: DataFrame, keys: list[str], modes: Modes, cap: int
+) -> DataFrame:
     log = _keyed(changes, keys)
     hot = hot_groups(log, keys, cap)
     if hot is None:

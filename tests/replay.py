@@ -19,7 +19,14 @@ def replay_rows(base, changes, modes):
             elif modes.imode == "native":
                 raise Duplicate(key)
         elif op == "update":
-            if modes.umode == "replace":
+            if modes.umode == "native" and old is not None and old[0] != key:
+                before = state.get(old[0])
+                if before is not None and (modes.match == "key" or before == old):
+                    if live is not None:
+                        raise Duplicate(key)
+                    del state[old[0]]
+                    state[key] = row
+            elif modes.umode == "replace":
                 state[key] = row
             elif modes.match == "key":
                 if live is not None:

@@ -108,3 +108,50 @@ def test_batch_reads_refuse_the_latest_message(spark):
     assert broker_options("h:1", "t", per_trigger=5)["maxOffsetsPerTrigger"] == "5"
     with pytest.raises(ValueError, match="latest"):
         read_broker(spark, "h:1", "t", streaming=False, earliest=False)
+
+
+ROW = "struct<k:bigint,s:string>"
+CHANGE = f"seq bigint, op string, row {ROW}, old {ROW}"
+
+
+@pytest.mark.parametrize("cap", [40, 100_000])
+@pytest.mark.parametrize("modes", [Modes("ignore"), Modes("replace"), Modes("ignore", match="key"), Modes("replace", match="key", dmode="ignore"), Modes("ignore", umode="replace")])
+def test_key_moves_equal_a_sequential_replay(spark, modes, cap):
+    import random
+
+    from tests.replay import Duplicate, replay_rows
+
+    rng = random.Random(f"{modes}")
+    base, log, state = {k: (k, "b") for k in range(0, 40, 2)}, [], {}
+    for seq in range(400):
+        key = rng.randrange(60)
+        live = replay_rows(base, log, modes).get(key)
+        op = rng.choice(["insert", "update", "move", "delete"])
+        old = live if live and rng.random() < 0.7 else (key, rng.choice("xyz"))
+        new = (key, rng.choice("abc"))
+        if op == "move":
+            op, new = "update", (key // 6 * 6 + rng.randrange(6), rng.choice("abc"))
+        step = (seq, op, old if op == "delete" else new, old if op == "update" else None)
+        try:
+            replay_rows(base, [*log, step], modes)
+        except Duplicate:
+            continue
+        log.append(step)
+    assert sum(c[1] == "update" and c[3][0] != c[2][0] for c in log) > 20
+    want = sorted(replay_rows(base, log, modes).values(), key=str)
+    got = A.apply_changes(spark.createDataFrame(list(base.values()), "k bigint, s string"), spark.createDataFrame(log, CHANGE), ["k"], modes)
+    if cap == 100_000:
+        assert rows(got) == want
+    else:
+        got = A.apply_fold(spark.createDataFrame(list(base.values()), "k bigint, s string"), spark.createDataFrame(log, CHANGE), ["k"], modes, cap=max(cap, 120))
+        assert rows(got) == want
+
+
+def test_moves_onto_live_keys_and_unmatched_moves(spark):
+    base = spark.createDataFrame([(1, "a"), (2, "b")], "k bigint, s string")
+    unmatched = spark.createDataFrame([(1, "update", (3, "c"), (1, "wrong"))], CHANGE)
+    assert rows(A.apply_changes(base, unmatched, ["k"])) == [(1, "a"), (2, "b")]
+    onto_live = spark.createDataFrame([(1, "update", (2, "c"), (1, "a"))], CHANGE)
+    for modes in (Modes(), Modes("ignore"), Modes("replace")):
+        with pytest.raises(Exception, match="duplicate key"):
+            A.apply_changes(base, onto_live, ["k"], modes).collect()
