@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rivulet.operators.apply_rows import Modes
+from rivulet import functions as R
+from rivulet.operators.apply_rows import Modes, apply_changes
+from rivulet.operators.envelope import encode
 from rivulet.plans import sql_parts as S
 from rivulet.plans.inputs import (
     ACCOUNT,
@@ -216,3 +218,108 @@ def publish_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     got = decode_rows(job.messages(both))
     return got.groupBy(F.col("m_topic").alias("topic"), "type").agg(F.count(F.lit(1)).alias("n"))
+
+
+_TWO_TABLES = f"""with {S.LOG}, c as (
+  select * from log where type <> 'replace' and ((db = 'db1' and tbl = 't2') or (db = 'db0' and tbl = 't1'))),
+last as (select *, row_number() over (partition by db, user_id order by seq desc) as rn from c)
+select db || '.' || tbl as target, user_id, event_type, value, created
+from last where rn = 1 and type <> 'delete'"""
+
+
+@query(_TWO_TABLES)
+def stream_two_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One topic that carries many tables, streamed to the targets of two of them."""
+    home = scratch_dir(spark, "stream-two")
+    _write_keyed(account_messages(spark, sf_dir), f"{home}/log")
+    found = None
+    for name in ("db1.t2", "db0.t1"):
+        target = _account_target(spark, f"{home}/{name}")
+        stream = read_files(spark, f"{home}/log", "shop", streaming=True, files_per_trigger=2)
+        drain(
+            apply_rows_stream(
+                stream, target, ACCOUNT, f"{home}/checkpoint-{name}", _REPLACE,
+                table=name, trigger={"availableNow": True},
+            )
+        )
+        rows = target.read().select(F.lit(name).alias("target"), *ACCOUNT)
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+@query(
+    """select o_orderkey as id, case when o_orderkey % 7 = 0 then 'changed' else o_orderstatus end as v,
+  case when o_orderkey % 7 = 0 then null else o_custkey end as bucket from orders
+where o_orderkey % 7 <> 0 or o_orderkey % 3 <> 0"""
+)
+def table_clashing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A target with columns `v` and `bucket`, changed after it was opened otherwise."""
+    home = scratch_dir(spark, "clash")
+    schema = "id BIGINT, v STRING, bucket BIGINT"
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("v"),
+        F.col("o_custkey").alias("bucket"),
+    )
+    first = BucketedTable(spark, f"{home}/target", schema, ["id"], buckets=4)
+    first.apply(0, orders.select("id"), lambda _: orders)
+    again = BucketedTable(spark, f"{home}/target", schema, ["id"], buckets=9)
+    touched = orders.where("id % 7 = 0").select("id")
+    changed = touched.where("id % 3 <> 0").select(
+        "id", F.lit("changed").alias("v"), F.lit(None).cast("bigint").alias("bucket")
+    )
+    again.apply(
+        1, touched, lambda old: old.join(touched, "id", "left_anti").unionByName(changed)
+    )
+    return again.read()
+
+
+@query("select doc_id as id, text from documents")
+def replay_binaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts sent as base64 fields of messages and replayed into a BINARY column."""
+    data = F.create_map(
+        F.lit("id"), F.col("doc_id").cast("string"),
+        F.lit("body"), R.b64_encode(F.encode("text", "UTF-8")),
+    )
+    envelopes = table(spark, sf_dir, "documents").select(
+        F.lit("insert").alias("type"), F.lit("shop").alias("database"),
+        F.lit("page").alias("table"), F.lit("shop-page").alias("topic"),
+        F.lit(1).cast("bigint").alias("ts"), data.alias("data"), F.col("doc_id").alias("seq"),
+    )
+    messages = envelopes.select(
+        "topic", F.lit(0).alias("partition"), F.col("seq").alias("offset"),
+        encode(envelopes, ["type", "database", "table", "ts", "data"]).alias("value"),
+    )
+    job = build_pipeline("messages", "relational", topics="shop-page")
+    rows = job.apply_rows(
+        messages, "shop.page", {"id": "bigint", "body": "binary"}, ["id"], modes=_REPLACE
+    )
+    return rows.select("id", F.col("body").cast("string").alias("text"))
+
+
+@query(
+    """with m as (
+  select o_custkey as c, o_orderkey, o_orderstatus as s, o_orderkey % 3 <> 0 as hits,
+    row_number() over (partition by o_custkey, o_orderkey % 3 <> 0 order by o_orderkey desc) as back
+  from orders
+), n as (select c, count(*) filter (hits) as moves, max(s) filter (hits and back = 1) as s from m group by c)
+select c_custkey + coalesce(moves, 0) * 1000000000 as k, coalesce(s, 'base') as state
+from customer left join n on c = c_custkey"""
+)
+def apply_key_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order moves its customer's row to a new key; every third one finds no row."""
+    orders = table(spark, sf_dir, "orders").where("o_custkey is not null")
+    hits = F.col("o_orderkey") % 3 != 0
+    before = Window.partitionBy("o_custkey").orderBy("o_orderkey").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    done = F.coalesce(F.sum(hits.cast("bigint")).over(before), F.lit(0))
+    here = F.col("o_custkey") + done * 1_000_000_000
+    changes = orders.select(
+        F.col("o_orderkey").alias("seq"), F.lit("update").alias("op"),
+        F.struct((here + 1_000_000_000).alias("k"), F.col("o_orderstatus").alias("state")).alias("row"),
+        F.struct(F.when(hits, here).otherwise(-here).alias("k"), F.lit("?").alias("state")).alias("old"),
+    )
+    base = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("k"), F.lit("base").alias("state")
+    )
+    return apply_changes(base, changes, ["k"], Modes(match="key"))
