@@ -18,14 +18,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import small
+from rivulet.llm.common import parts, small
+from rivulet.llm.words import mix
 from rivulet.util import stage
 
 PER_LANGUAGE = 2000
 ROUNDS = 3
 _SMOOTH = 0.05
 _LONG = 40
-_CACHE = 1 << 18
+_TOGETHER = 8192
+_CACHE = 1 << 19
 
 
 def pieces_of(model_file: str) -> list[str]:
@@ -45,6 +47,32 @@ def text_words(text: str) -> list[str]:
     return ["▁" + w for w in text.lower().split()]
 
 
+class Prefixes:
+    """Piece numbers by hash of a prefix of a piece: -1 for a mere prefix, -2 for neither."""
+
+    BITS = 20
+
+    def __init__(self, table: dict[int, int]):
+        keys = np.array(sorted(table), np.uint64)
+        self.keys = np.append(keys, np.uint64(0))
+        self.pieces = np.array([*(table[int(k)] for k in keys), -2], np.int64)
+        bucket = (keys >> np.uint64(64 - self.BITS)).astype(np.int64)
+        self.first = np.searchsorted(bucket, np.arange(1 << self.BITS))
+        self.depth = int(np.bincount(bucket, minlength=1).max(initial=0))
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        at = self.first[(hashes >> np.uint64(64 - self.BITS)).astype(np.int64)]
+        found = np.full(len(hashes), -2, np.int64)
+        for _ in range(self.depth):
+            hit = self.keys[at] == hashes
+            found[hit] = self.pieces[at[hit]]
+            at = np.minimum(at + 1, len(self.keys) - 1)
+        return found
+
+
+_TIMES = np.uint64(0x9E3779B97F4A7C15)
+
+
 class Lattice:
     """Pieces found in words. A character that is no piece counts as the last piece, `unk`."""
 
@@ -52,34 +80,58 @@ class Lattice:
         self.index = {p: i for i, p in enumerate(dict.fromkeys(pieces))}
         self.unknown = len(self.index)
         self.longest = max(map(len, self.index), default=1)
-        self.starts = {p[:k] for p in self.index for k in range(1, len(p) + 1)}
-
-    def hits(self, word: str) -> Iterator[tuple[int, int, int]]:
-        """(start, end, piece), ordered by start."""
-        index, starts = self.index, self.starts
-        for a in range(len(word)):
-            if word[a] not in index:
-                yield a, a + 1, self.unknown
-            for b in range(a + 1, min(len(word), a + self.longest) + 1):
-                part = word[a:b]
-                if part not in starts:
-                    break
-                if part in index:
-                    yield a, b, index[part]
+        table: dict[int, int] = {}
+        for length in range(1, self.longest + 1):
+            parts = sorted({p[:length] for p in self.index if len(p) >= length})
+            points = np.array([[ord(c) for c in p] for p in parts], np.uint64)
+            sums = np.zeros(len(parts), np.uint64)
+            for k in range(length):
+                sums = (sums + points[:, k]) * _TIMES
+            hashes = mix(sums + np.uint64(length)).tolist()
+            table.update(zip(hashes, (self.index.get(p, -1) for p in parts), strict=True))
+        self.prefixes = Prefixes(table)
 
     def steps(self, words: list[str]):
-        """Hits of many words as arrays (word, start, piece), by end and length."""
-        by: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
-        for w, word in enumerate(words):
-            for a, b, piece in self.hits(word):
-                by.setdefault((b, b - a), []).append((w, a, piece))
-        return [(b, np.array(by[b, n]).T) for b, n in sorted(by)]
+        """Hits of many words as arrays (word, start, piece), by end and then length."""
+        sizes = np.array([len(w) for w in words], np.int64)
+        points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.uint64)
+        owner = np.repeat(np.arange(len(words)), sizes)
+        start = np.arange(len(points)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        at, sums = np.arange(len(points)), np.zeros(len(points), np.uint64)
+        found: list[tuple[np.ndarray, ...]] = []
+        for length in range(1, self.longest + 1):
+            sums = (sums + points[at + length - 1]) * _TIMES
+            piece = self.prefixes.find(mix(sums + np.uint64(length)))
+            hit = piece >= 0
+            ends, named = start[at] + length, piece
+            if length == 1:
+                named, hit = np.where(hit, piece, self.unknown), np.ones(len(at), bool)
+            found.append(
+                (ends[hit], np.full(hit.sum(), length), owner[at[hit]], start[at[hit]], named[hit])
+            )
+            more = (piece > -2) & (ends < sizes[owner[at]])
+            at, sums = at[more], sums[more]
+        end, length, word, begin, piece = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((length, end))
+        turns = np.flatnonzero(np.diff(end[order] * 1024 + length[order])) + 1
+        parts = np.split(order, turns) if len(order) else []
+        return [(int(end[p[0]]), (word[p], begin[p], piece[p])) for p in parts]
+
+    def hits(self, word: str) -> Iterator[tuple[int, int, int]]:
+        """(start, end, piece) of one word, ordered by start."""
+        rows = [
+            (int(a), end, int(k))
+            for end, (_, starts, pieces) in self.steps([word])
+            for a, k in zip(starts, pieces, strict=True)
+        ]
+        return iter(sorted(rows))
 
     def log_likelihood(self, words: list[str], probs: np.ndarray) -> np.ndarray:
         """Logarithm of the summed probability of each word (rows) in each language."""
         out = np.empty((len(words), probs.shape[1]))
-        short = [i for i, w in enumerate(words) if len(w) <= _LONG]
-        if short:
+        every = [i for i, w in enumerate(words) if len(w) <= _LONG]
+        for low in range(0, len(every), _TOGETHER):
+            short = every[low : low + _TOGETHER]
             picked = [words[i] for i in short]
             alpha = np.zeros((len(short), max(map(len, picked)) + 1, probs.shape[1]))
             alpha[:, 0] = 1
@@ -183,8 +235,9 @@ def fit(
                 n = batch.column("n").to_numpy().astype(float)
                 for k, name in enumerate(langs):
                     own = np.flatnonzero(lang == name)
-                    if len(own):
-                        total[:, k] += lattice.expected(list(words[own]), n[own], probs[:, k])
+                    for at in range(0, len(own), _TOGETHER):
+                        some = own[at : at + _TOGETHER]
+                        total[:, k] += lattice.expected(list(words[some]), n[some], probs[:, k])
             piece, k = np.nonzero(total)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(piece), pa.array(k), pa.array(total[piece, k])],
@@ -210,31 +263,46 @@ def predict(docs: DataFrame, pieces: list[str], langs: list[str], probs: np.ndar
         lattice = Lattice(pieces)
         rows: dict[str, int] = {}
         table = np.zeros((_CACHE, len(langs)))
-        for batch in batches:
+
+        def known(words: list[str]) -> None:
+            """Put words into the table, which is emptied when it is full."""
+            new = [w for w in words if w not in rows]
+            if len(rows) + len(new) > _CACHE:
+                rows.clear()
+                new = words
+            if new:
+                table[len(rows) : len(rows) + len(new)] = lattice.log_likelihood(new, probs)
+                rows.update(zip(new, range(len(rows), len(rows) + len(new)), strict=True))
+
+        def total(found: Counter) -> np.ndarray:
+            out, words = np.zeros(len(langs)), list(found)
+            for at in range(0, len(words), _CACHE // 4):
+                part = words[at : at + _CACHE // 4]
+                if not all(w in rows for w in part):
+                    known(part)
+                n = np.array([found[w] for w in part], float)
+                out += n @ table[[rows[w] for w in part]]
+            return out
+
+        for batch in (part for whole in batches for part in parts(whole)):
             named, scores = [], []
+            counts = []
             for value in batch.column("text"):
                 text = value.as_py()
-                if not langs or not text or not any(map(str.isalpha, text)):
+                plain = langs and text and any(map(str.isalpha, text))
+                counts.append(Counter(text_words(text)) if plain else None)
+            words = list({w for c in counts if c for w in c})
+            if len(words) <= _CACHE // 4:
+                known(words)
+            for found in counts:
+                if found is None:
                     named.append("und")
                     scores.append(0.0)
                     continue
-                found = Counter(text_words(text))
-                total = np.zeros(len(langs))
-                words = list(found)
-                for at in range(0, len(words), _CACHE // 4):
-                    part = words[at : at + _CACHE // 4]
-                    new = [w for w in part if w not in rows]
-                    if len(rows) + len(new) > _CACHE:
-                        rows.clear()
-                        new = part
-                    if new:
-                        table[len(rows) : len(rows) + len(new)] = lattice.log_likelihood(new, probs)
-                        rows.update(zip(new, range(len(rows), len(rows) + len(new)), strict=True))
-                    n = np.array([found[w] for w in part], float)
-                    total += n @ table[[rows[w] for w in part]]
-                best = int(np.argmax(total))
+                logs = total(found)
+                best = int(np.argmax(logs))
                 named.append(langs[best])
-                scores.append(1 / math.fsum(np.exp(total - total[best])))
+                scores.append(1 / math.fsum(np.exp(logs - logs[best])))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),

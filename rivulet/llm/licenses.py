@@ -104,7 +104,10 @@ class Templates:
                     break
                 needed.add(t)
                 rest -= (x / norm) ** 2
-        self.needed = re.compile("|".join(map(re.escape, sorted(needed))))
+        self.needed = frozenset(needed)
+
+    def may_match(self, segment: str) -> bool:
+        return not self.needed.isdisjoint(terms(segment))
 
     def best(self, segment: str) -> tuple[float, str]:
         """Greatest cosine and its license; of equal ones the first by name."""
@@ -122,11 +125,10 @@ class Templates:
 
     def scan(self, text: str, whole: bool) -> tuple[str | None, float | None]:
         """License and cosine of a file's best segment that reaches the threshold."""
-        low = text.lower()
-        if not self.needed.search(low):
+        if not self.may_match(text):
             return None, None
-        segments = {x for x in text.split("\n") if self.needed.search(x.lower())}
-        segments |= {x for x in re.split(r"\n\s*\n", text) if self.needed.search(x.lower())}
+        segments = {x for x in text.split("\n") if self.may_match(x)}
+        segments |= {x for x in re.split(r"\n\s*\n", text) if self.may_match(x)}
         if whole:
             segments.add(text)
         score, name = min(((-s, n) for s, n in map(self.best, segments)), default=(0.0, ""))
