@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.operators.apply_docs import (
     apply_documents,
@@ -27,7 +28,9 @@ from rivulet.operators.routing import (
     route_documents,
     route_rows,
 )
+from rivulet.sinks.tables import BucketedTable
 from rivulet.sources.messages import topic_list
+from rivulet.streaming.apply import apply_tables_stream
 
 STORES = ("relational", "document", "messages")
 
@@ -115,6 +118,26 @@ class Pipeline:
         return apply_documents(base, document_changes(routed, order))
 
 
+    def start(
+        self,
+        messages: DataFrame,
+        targets: dict[str, tuple[BucketedTable, dict[str, str]]],
+        checkpoint: str,
+        forced: bool = False,
+        **options,
+    ) -> StreamingQuery:
+        """Run the relational consumer as a stream: `db.table` -> (target, columns).
+
+        All targets are fed from one decoding. With `forced` everything goes to the one
+        target. `options` are those of `apply_tables_stream`: modes, seq, progress, repair
+        and trigger.
+        """
+        if forced and len(targets) != 1:
+            raise ValueError("a forced target must be the only one")
+        wanted = {None: next(iter(targets.values()))} if forced else dict(targets)
+        return apply_tables_stream(self._of_topics(messages), wanted, checkpoint, **options)
+
+
 def build_pipeline(
     source: str,
     sink: str,

@@ -232,19 +232,18 @@ def stream_two_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One topic that carries many tables, streamed to the targets of two of them."""
     home = scratch_dir(spark, "stream-two")
     _write_keyed(account_messages(spark, sf_dir), f"{home}/log")
-    found = None
-    for name in ("db1.t2", "db0.t1"):
-        target = _account_target(spark, f"{home}/{name}")
-        stream = read_files(spark, f"{home}/log", "shop", streaming=True, files_per_trigger=2)
-        drain(
-            apply_rows_stream(
-                stream, target, ACCOUNT, f"{home}/checkpoint-{name}", _REPLACE,
-                table=name, trigger={"availableNow": True},
-            )
+    job = build_pipeline("messages", "relational", topics="shop")
+    targets = {
+        name: (_account_target(spark, f"{home}/{name}"), ACCOUNT) for name in ("db1.t2", "db0.t1")
+    }
+    stream = read_files(spark, f"{home}/log", "shop", streaming=True, files_per_trigger=2)
+    drain(
+        job.start(
+            stream, targets, f"{home}/checkpoint", modes=_REPLACE, trigger={"availableNow": True}
         )
-        rows = target.read().select(F.lit(name).alias("target"), *ACCOUNT)
-        found = rows if found is None else found.unionByName(rows)
-    return found
+    )
+    rows = [t.read().select(F.lit(n).alias("target"), *ACCOUNT) for n, (t, _) in targets.items()]
+    return rows[0].unionByName(rows[1])
 
 
 @query(

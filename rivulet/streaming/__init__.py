@@ -1,6 +1,10 @@
 """Structured Streaming forms of the gates and appliers."""
 
-from rivulet.streaming.apply import apply_documents_stream, apply_rows_stream
+from rivulet.streaming.apply import (
+    apply_documents_stream,
+    apply_rows_stream,
+    apply_tables_stream,
+)
 from rivulet.streaming.gate import gate_stream
 from rivulet.streaming.store import BatchStore, drain
 
@@ -8,6 +12,7 @@ __all__ = [
     "BatchStore",
     "apply_documents_stream",
     "apply_rows_stream",
+    "apply_tables_stream",
     "drain",
     "gate_stream",
 ]

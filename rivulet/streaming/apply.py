@@ -47,6 +47,30 @@ def _start(
     )
 
 
+def _replay_on(
+    target: BucketedTable,
+    routed: DataFrame,
+    columns: dict[str, str],
+    order: Column,
+    modes: Modes,
+    batch_id: int,
+) -> None:
+    # Kept, so that messages are parsed once; lost blocks are parsed again.
+    changes = changes_from(routed, columns, order, target.keys).persist()
+    touched = changes.select(*[F.col("row")[k].alias(k) for k in target.keys])
+    if modes.match == "row" or modes.umode == "native":
+        moved = changes.where(F.col("old").isNotNull())
+        touched = touched.unionByName(
+            moved.select(*[F.col("old")[k].alias(k) for k in target.keys])
+        )
+    try:
+        target.apply(
+            batch_id, touched, lambda base: apply_changes(base, changes, target.keys, modes)
+        )
+    finally:
+        changes.unpersist()
+
+
 def apply_rows_stream(
     messages: DataFrame,
     target: BucketedTable,
@@ -62,34 +86,50 @@ def apply_rows_stream(
     """Replay relational messages onto a table, batch by batch.
 
     With `table` (`db.table`) only its messages are applied; without it, all are, whatever
-    table they name. `seq` orders the changes of a key within a batch (the message offset
-    by default) and `repair` may fix payload types. Progress is saved after the target has
-    committed, and the target skips a batch it already holds, so nothing is lost or applied
-    twice. `trigger` holds options of Spark's trigger, such as {"processingTime": "5 seconds"}
-    to run until stopped; by default the stream ends when it is drained.
+    table they name. `apply_tables_stream` says what the other parameters mean.
+    """
+    return apply_tables_stream(
+        messages, {table: (target, columns)}, checkpoint, modes, seq, progress, repair, trigger
+    )
+
+
+def apply_tables_stream(
+    messages: DataFrame,
+    targets: dict[str | None, tuple[BucketedTable, dict[str, str]]],
+    checkpoint: str,
+    modes: Modes = Modes(imode="replace", umode="replace", match="key"),
+    seq: Column | None = None,
+    progress: BatchStore | None = None,
+    repair: Callable[[DataFrame], DataFrame] | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Replay relational messages onto the tables they name, batch by batch.
+
+    `targets` maps `db.table` to its target and columns; messages of other tables are left
+    out, and the name None takes all messages. `seq` orders the changes of a key within a
+    batch (the message offset by default: give it if a key's messages come from several
+    partitions) and `repair` may fix payloads. Progress is saved after all targets have
+    committed, and a target skips a batch it already holds, so nothing is lost or applied
+    twice. `trigger` holds options of Spark's trigger, such as
+    {"processingTime": "5 seconds"} to run until stopped; by default the stream ends when
+    it is drained.
     """
     order = F.col("m_offset") if seq is None else seq
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         envelopes = decode_rows(batch)
-        if table is not None:
-            own = table_key(F.col("database"), F.col("table"))
-            envelopes = envelopes.where(own == F.lit(table))
-        routed = route_rows(repair(envelopes) if repair else envelopes)
-        # Kept, so that messages are parsed once; lost blocks are parsed again.
-        changes = changes_from(routed, columns, order, target.keys).persist()
-        touched = changes.select(*[F.col("row")[k].alias(k) for k in target.keys])
-        if modes.match == "row" or modes.umode == "native":
-            moved = changes.where(F.col("old").isNotNull())
-            touched = touched.unionByName(
-                moved.select(*[F.col("old")[k].alias(k) for k in target.keys])
-            )
+        envelopes = repair(envelopes) if repair else envelopes
+        shared = len(targets) > 1
+        routed = route_rows(envelopes)
+        routed = routed.persist() if shared else routed
         try:
-            target.apply(
-                batch_id, touched, lambda base: apply_changes(base, changes, target.keys, modes)
-            )
+            for name, (target, columns) in targets.items():
+                own = table_key(F.col("database"), F.col("table")) == F.lit(name)
+                chosen = routed if name is None else routed.where(own)
+                _replay_on(target, chosen, columns, order, modes, batch_id)
         finally:
-            changes.unpersist()
+            if shared:
+                routed.unpersist()
         _save_progress(progress, batch, batch_id)
 
     return _start(messages, on_batch, checkpoint, trigger)
