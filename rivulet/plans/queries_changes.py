@@ -237,6 +237,32 @@ def read_new_and_known_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.select("phase", "type", "topic", key.cast("bigint").alias("id"))
 
 
+@query(
+    """with e as (
+  select o_orderkey as log_pos, cast(floor(epoch(o_orderdate)) as bigint) as ts,
+    'db' || (o_custkey % 3) as db, 't' || (o_custkey % 5) as tbl, 1 + o_orderkey % 4 as n from orders
+), r as (
+  select log_pos, ts, unnest(range(1, n + 1)) as row_no from e where db = 'db1' and tbl = 't2'
+), f as (select arg_min(ts, log_pos) as t from r
+), w as (
+  select r.*, max(ts) over (order by log_pos, row_no rows between unbounded preceding and 1 preceding) as seen
+  from r
+)
+select log_pos, cast(row_no as bigint) as row_no, ts from w, f
+where ts >= t and (seen is null or ts >= seen) and (ts > t or row_no >= 2)"""
+)
+def resume_within_event(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A known table, stopped at the second row of its first event, is followed on."""
+    rows = explode_rows_events(order_events(spark, sf_dir))
+    rows = rows.withColumn("seq", F.col("log_pos") * 10 + F.col("row_no"))
+    known = (F.col("database") == "db1") & (F.col("table") == "t2")
+    positions = rows.where(known).groupBy("database", "table").agg(
+        F.min_by("ts", "log_pos").alias("time"), F.lit(2).alias("inc")
+    )
+    whole = read_tables({"db1.t2": table(spark, sf_dir, "orders")}, rows, 0, positions)
+    return whole.select("log_pos", F.col("row_no").cast("bigint").alias("row_no"), "ts")
+
+
 # --- applying row changes ------------------------------------------------------------
 
 

@@ -95,8 +95,8 @@ def snapshot_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select max(o_orderkey) as top_id, count(*) as n_rows from orders")
 def top_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The bound of a snapshot."""
-    return table(spark, sf_dir, "orders").agg(
+    """The bound of a snapshot, and the rows within it."""
+    return bounded_snapshot(table(spark, sf_dir, "orders"), "o_orderkey").agg(
         F.max("o_orderkey").alias("top_id"), F.count(F.lit(1)).alias("n_rows")
     )
 
