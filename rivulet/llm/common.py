@@ -10,7 +10,6 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.util import stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 _SPACE = " \t\n\x0b\x0c\r"
@@ -56,9 +55,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """The frame with a broadcast hint if it has at most `rows` rows, else as it is.
 
-    Give it a staged frame: the count then costs a look at file footers.
+    Give it a staged frame, whose count is cheap.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def parts(batch: pa.RecordBatch, size: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
@@ -80,47 +79,3 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
             yield from map(fn, parts(batch))
 
     return df.mapInArrow(run, schema)
-
-
-def components(edges: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
-    """(node, root) of every node of undirected edges; root is the least node reached.
-
-    Nodes should be digests, so that their order is random: every round points each node to
-    its least neighbour and contracts the edges, which takes a number of rounds that grows
-    with the logarithm of the size. Minima are combined before each shuffle, so a node with
-    any number of edges costs no more than its edges. Tables are written between rounds.
-    """
-    current = stage(
-        edges.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y"))
-        .where("x <> y")
-        .distinct(),
-        "edges",
-    )
-    found = None
-    while not current.isEmpty():
-        both = current.unionByName(current.select(F.col("y").alias("x"), F.col("x").alias("y")))
-        step = stage(
-            both.groupBy(F.col("x").alias("node"))
-            .agg(F.min("y").alias("to"))
-            .select("node", F.least("node", "to").alias("to")),
-            "step",
-        )
-        if found is None:
-            found = step.withColumnRenamed("to", "root")
-        else:
-            moved = step.select(F.col("node").alias("root"), "to")
-            found = stage(
-                found.join(moved, "root", "left").select(
-                    "node", F.coalesce("to", "root").alias("root")
-                ),
-                "roots",
-            )
-        ends = (
-            current.join(step.select(F.col("node").alias("x"), F.col("to").alias("tx")), "x")
-            .join(step.select(F.col("node").alias("y"), F.col("to").alias("ty")), "y")
-            .select(F.least("tx", "ty").alias("x"), F.greatest("tx", "ty").alias("y"))
-        )
-        current = stage(ends.where("x <> y").distinct(), "edges")
-    if found is None:
-        return current.select(F.col("x").alias("node"), F.col("y").alias("root"))
-    return found

@@ -9,12 +9,12 @@ confirmed on full shingle sets.
 A bucket is never expanded into its pairs. Copies (equal word sequences) are one node from
 the start. Each bucket's best-connected node is compared with the others; what that links
 is contracted. Only in buckets that still hold several components are nodes of different
-components compared, by longer signatures (512 minima, four bits each) that are part of the
+components compared, by longer signatures (1024 minima, four bits each) that are part of the
 join, so that a pair leaves the join once and only if it is about to be confirmed. A link
 whose ends are already in one component cannot change the result, so no component is lost.
 
 A pair at the limit of 0.8 shares no band with probability (1 - 0.8^4)^32 = 5e-8; the
-estimates' margins, six and five standard errors, lose one in 10^6 of such pairs at most.
+estimates' margins, six and 4.75 standard errors, lose one in 10^6 of such pairs at most.
 """
 
 from __future__ import annotations
@@ -24,13 +24,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import arrow_map, components, small, text_key, without_rows
+from rivulet.llm.common import arrow_map, small, text_key, without_rows
 from rivulet.llm.words import Words, digest, grams, mix, signed
+from rivulet.operators.graph import components
 from rivulet.util import stage
 
 HASHES, ROWS, BITS = 128, 4, 2
 BANDS = HASHES // ROWS
-FINE_HASHES, FINE_BITS = 512, 4
+FINE_HASHES, FINE_BITS = 1024, 4
 _FINE = [f"f{k}" for k in range(FINE_HASHES * FINE_BITS // 64)]
 _SEEDS = mix(np.arange(1, 2 * FINE_HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _TIMES, _PLUS = _SEEDS[:FINE_HASHES, None] | np.uint64(1), _SEEDS[FINE_HASHES:, None]
@@ -197,12 +198,13 @@ def bridges(placed: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, per
     buckets it shares, and only if the longer signatures leave it a chance.
     """
     keys = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    mixed = stage(placed.join(keys.where("lo <> hi").select("key"), "key"), "mixed")
+    keys = stage(keys.where("lo <> hi").select("key"), "mixed-keys")
+    mixed = stage(placed.join(small(keys), "key"), "mixed")
     per_node = mixed.groupBy("node").agg(F.collect_set("key").alias("keys"))
     fine = fine_lanes(per_node.select("node"), docs, nodes, size)
     full = stage(mixed.join(per_node.join(fine, "node"), "node"), "fine")
     similar = estimate("a", "b", _FINE, FINE_HASHES, FINE_BITS) >= cut(
-        percent, FINE_HASHES, FINE_BITS, 5
+        percent, FINE_HASHES, FINE_BITS, 4.75
     )
     return (
         full.alias("a")
@@ -247,11 +249,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         .select("node", F.explode("bands").alias("key"))
     )
     keys = stage(keys, "keys")
-    shared = (
-        keys.groupBy("key").agg(F.count("*").alias("n"))
-        .where("n > 1")
-    )
-    members = stage(keys.join(shared, "key"), "members")
+    # written down first, so that the join can broadcast it or split hot keys
+    shared = stage(keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shared")
+    members = stage(keys.join(small(shared), "key"), "members")
     popular = members.groupBy("node").agg(F.sum("n").alias("weight"))
     members = stage(
         members.select("key", "node").join(popular, "node")

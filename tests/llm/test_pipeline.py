@@ -24,8 +24,10 @@ def test_awkward_rows_pass_every_stage(spark):
     for table in (awkward_rows() + extra, []):
         docs = awkward(spark, table).select(*COLUMNS)
         for name, function in P.STAGES:
-            docs = stage(function(spark, docs, SF_DIR), name)
+            out = stage(function(spark, docs, SF_DIR), name)
+            assert {r.doc_id for r in out.collect()} <= {r[0] for r in table}
+            # this table's texts are unlike the trusted ones, so the next stages get them all
+            docs = docs if name == "quality_rules" else out
         ids = {r.doc_id for r in docs.collect()}
-        assert ids <= {r[0] for r in table}
         if table:
             assert ids & {400, 401, 402, 403, 404}
