@@ -26,8 +26,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that ten sources or more share."""
-    stripped = drop_shared_lines(docs, "source", 10)
+    """Documents without the lines that ten sources and ten distinct texts or more share."""
+    stripped = drop_shared_lines(docs, "source", 10, by_text=True)
     if "n_chars" in docs.columns:
         size = F.when(F.col("n_removed") > 0, F.length("text").cast("long"))
         stripped = stripped.withColumn("n_chars", F.coalesce(size, F.col("n_chars")))

@@ -3,7 +3,8 @@
 A HyperLogLog sketch of sites is kept per line hash; sketches merge by aggregation, before
 the shuffle and after it. Lines whose estimate is near the threshold (between half and
 twice of it, over ten standard errors) get an exact distinct count; the others are decided
-by their estimate, which is then sure to be on the right side.
+by their estimate, which is then sure to be on the right side. Counted by text, a line needs
+as many distinct texts too, so that copies of one text do not make its lines shared.
 """
 
 from __future__ import annotations
@@ -42,43 +43,57 @@ def _hashed(docs: DataFrame, site: str) -> DataFrame:
     )
 
 
-def shared_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
-    """(h1, h2) of the lines that occur on `min_sites` sites or more."""
+def shared_lines(
+    docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, by_text: bool = False
+) -> DataFrame:
+    """(h1, h2) of the lines that occur on `min_sites` sites or more, with `by_text` also in
+    as many distinct texts."""
     lines = _hashed(docs, site)
-    spread = lines.groupBy("h1", "h2").agg(F.hll_sketch_agg("site", LG_K).alias("sketch"))
+    counted = {"sites": "site", "texts": "text_key"} if by_text else {"sites": "site"}
+
+    def least(n: int | float) -> Column:
+        return F.least(*counted, F.lit(float("inf"))) >= n
+
+    spread = lines.groupBy("h1", "h2").agg(
+        *(F.hll_sketch_agg(c, LG_K).alias(name) for name, c in counted.items())
+    )
     judged = stage(
-        spread.select("h1", "h2", F.hll_sketch_estimate("sketch").alias("sites")).where(
-            F.col("sites") >= min_sites / 2
-        ),
+        spread.select(
+            "h1", "h2", *(F.hll_sketch_estimate(name).alias(name) for name in counted)
+        ).where(least(min_sites / 2)),
         "spread",
     )
-    near = judged.where(F.col("sites") < 2 * min_sites).select("h1", "h2")
-    exact = (
-        lines.join(small(near), ["h1", "h2"], "left_semi")
-        .select("h1", "h2", "site").distinct()
-        .groupBy("h1", "h2").agg(F.count("*").alias("sites"))
-        .where(F.col("sites") >= min_sites)
-    )
-    sure = judged.where(F.col("sites") >= 2 * min_sites)
-    return sure.select("h1", "h2").unionByName(exact.select("h1", "h2"))
+    near = small(judged.where(~least(2 * min_sites)).select("h1", "h2"))
+    exact = None
+    for c in counted.values():
+        enough = (
+            lines.join(near, ["h1", "h2"], "left_semi")
+            .select("h1", "h2", c).distinct()
+            .groupBy("h1", "h2").agg(F.count("*").alias("n"))
+            .where(F.col("n") >= min_sites).select("h1", "h2")
+        )
+        exact = enough if exact is None else exact.join(enough, ["h1", "h2"], "left_semi")
+    sure = judged.where(least(2 * min_sites))
+    return sure.select("h1", "h2").unionByName(exact)
 
 
 def drop_shared_lines(
-    docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES
+    docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, by_text: bool = False
 ) -> DataFrame:
     """`docs` with `text` less the lines on `min_sites` sites or more, n_lines and n_removed.
 
     `docs` needs `text` and the site column; all columns are kept, n_lines and n_removed
     give way to the new ones. Lines are split at newlines and compared without white space
     at their ends; lines without a visible character are kept. A document of which more
-    than half the characters would go is a copy rather than a page with boilerplate: it is
-    left whole, for near-duplicate removal to judge.
+    than half the characters would go counts as a copy and is left whole, for near-duplicate
+    removal to judge; with `by_text` shared lines are those that `min_sites` distinct texts
+    hold too, and they always go, whatever share of a document they are.
 
     Defined cases: a null text stays null and has 0 lines; the null site is one site;
     repeated rows are rows like any others and do not add sites; an empty table gives an
     empty result.
     """
-    shared = stage(shared_lines(docs, site, min_sites), "shared")
+    shared = stage(shared_lines(docs, site, min_sites, by_text), "shared")
     bad = (
         _hashed(docs, site).join(small(shared), ["h1", "h2"], "left_semi")
         .groupBy("text_key").agg(F.collect_set("at").alias("bad"))
@@ -107,7 +122,7 @@ def drop_shared_lines(
     done = let(
         stripped,
         lambda s: F.when(
-            2 * F.length(s["text"]) >= F.length(F.col("d.text")), s
+            s.isNotNull() if by_text else 2 * F.length(s["text"]) >= F.length(F.col("d.text")), s
         ).otherwise(whole),
     )
     return joined.select(*(F.col(f"d.`{c}`") for c in own if c != "text"), done.alias("_done")).select(

@@ -46,3 +46,40 @@ def test_equals_brute_force(spark, least):
 
 def test_empty(spark):
     assert L.drop_shared_lines(awkward(spark, [])).count() == 0
+
+
+def by_text_rows():
+    """Pages that are mostly menu, and one text that twelve sites copy."""
+    menu = "\n".join(prose(500 + j, 12) for j in range(6))
+    pages = [(k, f"{menu}\n{prose(k, 20)}", "en", f"site{k}" if k else None, 1) for k in range(12)]
+    copies = [(50 + k, prose(600, 30) + "\n" + prose(601, 30), "en", f"site{k}", 1) for k in range(12)]
+    return [*pages, *copies, (90, menu, "en", "site1", 1), (91, None, "en", "site1", 1), (92, "", "en", "site1", 1)]
+
+
+@pytest.mark.parametrize("least", [2, 6, 12, 13, 14])
+def test_by_text_every_shared_line_goes_and_copies_stay(spark, least):
+    sites, texts = defaultdict(set), defaultdict(set)
+    for _, text, _, source, _ in by_text_rows():
+        for line in (text or "").split("\n"):
+            sites[line].add(source)
+            texts[line].add(text)
+    want = []
+    for doc_id, text, *_ in by_text_rows():
+        lines = [] if text is None else text.split("\n")
+        kept = [x for x in lines if not x or len(sites[x]) < least or len(texts[x]) < least]
+        want.append((doc_id, len(lines), len(lines) - len(kept), None if text is None else "\n".join(kept)))
+    docs = awkward(spark, by_text_rows())
+    found = L.drop_shared_lines(docs, "source", least, by_text=True).collect()
+    assert sorted((r.doc_id, r.n_lines, r.n_removed, r.text) for r in found) == want
+    if least <= 12:
+        assert want[0][2] == 6 and 2 * len(want[0][3]) < len(by_text_rows()[0][1])
+        assert want[12][2] == 0
+
+
+def test_pipeline_strips_pages_that_are_mostly_menu(spark):
+    import corpus_pipeline as P
+
+    docs = awkward(spark, by_text_rows()).select("doc_id", "text", "lang", "source", "n_chars")
+    text = {r.doc_id: r.text for r in P.line_dedup(spark, docs, "").collect()}
+    assert [text[k] for k in range(12)] == [prose(k, 20) for k in range(12)]
+    assert text[50] == text[61] == prose(600, 30) + "\n" + prose(601, 30)
