@@ -504,7 +504,10 @@ def apply_fold(
         changes = changes.withColumn("old", F.lit(None).cast(changes.schema["row"].dataType))
     changes = _drop_deletes(changes, modes.dmode)
     if modes.umode == "native" and _moves_keys(changes, keys):
-        moved, base, changes = replay_moves(base, changes, keys, modes.imode, modes.match, cap)
+        moved, base, changes = replay_moves(
+            base, changes, keys, modes.imode, modes.match, cap,
+            lambda held, log: apply_fold(held, log, keys, modes, cap),
+        )
         return moved.unionByName(_replay(base, changes, keys, modes, cap))
     return _replay(base, changes, keys, modes, cap)
 

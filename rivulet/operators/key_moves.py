@@ -6,18 +6,25 @@ keys, so keys that updates move between are replayed together: they form the com
 a graph, and each component's changes are folded in order over a map of its live rows. All
 other keys are left to the plain replay.
 
-The changes of one component are gathered in one array. Components of ordinary logs are a
-few keys; one that chains more than `cap` changes is refused rather than cut.
+The changes of a small component are gathered in one array. Components of ordinary logs are
+a few keys. The log of larger ones is cut in two by seq, and the halves are replayed one after
+the other: within a half, moves tie fewer keys together, and what they do not tie is left to
+the plain replay again. The halves are cut on until their components are small.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.operators.graph import components
 from rivulet.util import stage
 
+# Steps times live rows that folding one component may take; each step rebuilds the map.
+FOLD_WORK = 200_000_000
+
 
 def _key(image: str, keys: list[str]) -> Column:
     """A digest of a row's key, also where parts are NULL."""
@@ -69,6 +76,19 @@ def _step(imode: str, match: str):
     return step
 
 
+def _by_halves(
+    base: DataFrame | None,
+    log: DataFrame,
+    replay: Callable[[DataFrame | None, DataFrame], DataFrame],
+) -> DataFrame:
+    """Replay the first half of a log, by seq, and then the second one on its result."""
+    mid, high = log.agg(F.percentile_approx("seq", 0.5), F.max("seq")).first()
+    if mid == high:
+        mid = log.where(F.col("seq") < high).agg(F.max("seq")).first()[0]
+    first = stage(replay(base, log.where(F.col("seq") <= mid)), "moved-half")
+    return stage(replay(first, log.where(F.col("seq") > mid)), "moved-half")
+
+
 def replay_moves(
     base: DataFrame | None,
     changes: DataFrame,
@@ -76,8 +96,13 @@ def replay_moves(
     imode: str,
     match: str,
     cap: int,
+    replay: Callable[[DataFrame | None, DataFrame], DataFrame],
 ) -> tuple[DataFrame, DataFrame | None, DataFrame]:
-    """(rows of the moved keys, base of the other keys, changes of the other keys)."""
+    """(rows of the moved keys, base of the other keys, changes of the other keys).
+
+    `replay` applies changes to a base with the same modes; components that are too large to
+    fold are given to it in halves.
+    """
     keyed = changes.withColumns({"_k": _key("row", keys)})
     old = F.when(F.col("op") == "update", F.coalesce(_key("old", keys), F.col("_k")))
     has_old = F.col("old").isNotNull() & (F.col("op") == "update")
@@ -86,10 +111,31 @@ def replay_moves(
     edges = keyed.where("_o <> _k").select(F.col("_o").alias("x"), F.col("_k").alias("y"))
     owner = stage(components(edges).select(F.col("node").alias("_k"), "root"), "moved-keys")
     own = keyed.join(owner, "_k")
-    most = own.groupBy("root").count().agg(F.max("count")).first()[0] or 0
-    if most > cap:
-        raise ValueError(f"moves chain {most} changes together, more than {cap}")
     kind = changes.schema["row"].dataType
+    sizes = own.groupBy("root").agg(
+        F.count("*").alias("n"), F.count_if(F.col("op") == "insert").alias("live"),
+        (F.min("seq") < F.max("seq")).alias("cuts"),
+    )
+    marked = None
+    if base is not None:
+        image = F.struct(*kind.fieldNames()).cast(kind)
+        marked = base.select(F.struct(*base.columns).alias("_b"), image.alias("row"))
+        marked = marked.withColumn("_k", _key("row", keys))
+        held = marked.join(owner, "_k").groupBy("root").agg(F.count("*").alias("held"))
+        live = F.col("live") + F.coalesce("held", F.lit(0))
+        sizes = sizes.join(held, "root", "left").withColumn("live", live)
+    large = F.col("cuts") & ((F.col("n") > cap) | (F.col("n") * F.col("live") > FOLD_WORK))
+    large = stage(sizes.where(large).select("root"), "large-moves")
+    tied, halves = owner, None
+    if not large.isEmpty():
+        many = stage(owner.join(large, "root", "left_semi"), "large-keys")
+        tied = stage(owner.join(large, "root", "left_anti"), "small-keys")
+        own = keyed.join(tied, "_k")
+        log = stage(keyed.join(many, "_k", "left_semi").select(*changes.columns), "large-log")
+        start = None if marked is None else stage(
+            marked.join(many, "_k", "left_semi").select("_b.*"), "large-base"
+        )
+        halves = _by_halves(start, log, replay)
     logs = own.groupBy("root").agg(
         F.sort_array(
             F.collect_list(
@@ -104,10 +150,7 @@ def replay_moves(
     if base is None:
         start, rest = logs.withColumn("_rows", empty), None
     else:
-        image = F.struct(*kind.fieldNames()).cast(kind)
-        marked = base.select(F.struct(*base.columns).alias("_b"), image.alias("row"))
-        marked = marked.withColumn("_k", _key("row", keys))
-        held = marked.join(owner, "_k").groupBy("root").agg(
+        held = marked.join(tied, "_k").groupBy("root").agg(
             F.map_from_entries(F.collect_list(F.struct("_k", "row"))).cast(rows_type).alias("_rows")
         )
         start = logs.join(held, "root", "full").withColumn("_rows", F.coalesce("_rows", empty))
@@ -115,5 +158,7 @@ def replay_moves(
     none = F.array().cast(logs.schema["_log"].dataType)
     end = F.aggregate(F.coalesce("_log", none), F.col("_rows"), _step(imode, match))
     done = start.select(F.explode(F.map_values(end)).alias("row")).select("row.*")
+    if halves is not None:
+        done = done.unionByName(halves.select(*done.columns))
     others = keyed.join(owner, "_k", "left_anti").select(*changes.columns)
     return done, rest, others

@@ -155,3 +155,34 @@ def test_moves_onto_live_keys_and_unmatched_moves(spark):
     for modes in (Modes(), Modes("ignore"), Modes("replace")):
         with pytest.raises(Exception, match="duplicate key"):
             A.apply_changes(base, onto_live, ["k"], modes).collect()
+
+
+@pytest.mark.parametrize("modes, cap, work", [(Modes("ignore"), 40, 200_000_000), (Modes("replace", match="key"), 1000, 90)])
+def test_large_components_of_moves_are_replayed(spark, monkeypatch, modes, cap, work):
+    import random
+
+    from rivulet.operators import key_moves
+    from tests.replay import Duplicate, replay_rows
+
+    monkeypatch.setattr(key_moves, "FOLD_WORK", work)
+    rng, log = random.Random(7), []
+    base = {k: (k, "b") for k in [0, 1, 50, 51]}
+    state = dict(base)
+    while len(log) < 60:
+        key, to = rng.choice(sorted(state)), rng.randrange(8)
+        move = (len(log), "update", (to, rng.choice("abc")), state[key] if rng.random() < 0.8 else (key, "?"))
+        try:
+            state = replay_rows(state, [move], modes)
+        except Duplicate:
+            continue
+        log.append(move)
+    want = sorted(replay_rows(base, log, modes).values(), key=str)
+    got = A.apply_fold(spark.createDataFrame(list(base.values()), "k bigint, s string"), spark.createDataFrame(log, CHANGE), ["k"], modes, cap=cap)
+    assert rows(got) == want
+
+
+def test_large_component_still_fails_on_a_live_key(spark):
+    log = [(k, "update", (k + 1, "a"), (k, "a")) for k in range(1, 30)] + [(40, "update", (99, "a"), (30, "a"))]
+    base = spark.createDataFrame([(1, "a"), (99, "b")], "k bigint, s string")
+    with pytest.raises(Exception, match="duplicate key"):
+        A.apply_fold(base, spark.createDataFrame(log, CHANGE), ["k"], Modes(), cap=20).collect()
