@@ -1,6 +1,7 @@
 """Benchmark passages in documents, by SimHash of item-sized windows.
 
-A window is as many consecutive words of a document as an item has. Its fingerprint is the
+A window is as many consecutive words of a document as an item has; a document with fewer
+words is one window as a whole. Its fingerprint is the
 SimHash of its shingles, each weighted by how often it occurs. Fingerprints are cut into
 RADIUS + 1 blocks; two fingerprints within the radius agree on a whole block, so looking
 every block up in a table of the items' blocks finds all of them. What is found is confirmed
@@ -77,17 +78,17 @@ class Items:
         return [k for k in found if (self.prints[k] ^ fingerprint).bit_count() <= RADIUS]
 
     def search(self, shingles: np.ndarray, percent: int):
-        """(item, shared, joint, start) of the best window of each item in one document."""
+        """(item, shared, joint, start, words) of the best window of each item in a document."""
         places: dict[int, list[int]] = {}
         for p in np.flatnonzero(self.mask[shingles >> np.uint64(64 - _MASK_BITS)]):
             for k in self.holders.get(int(shingles[p]), ()):
                 places.setdefault(k, []).append(int(p))
-        best: dict[int, tuple[int, int, int]] = {}
+        best: dict[int, tuple[int, int, int, int]] = {}
         done: set[tuple[int, int]] = set()
         for k, held in places.items():
             m = len(self.shingles[k])
             need = -(-percent * m // 100)
-            if len(held) < need or len(shingles) < m:
+            if len(held) < need:
                 continue
             at = np.array(held)
             # windows that begin where the needed hits fit in
@@ -97,7 +98,9 @@ class Items:
             starts = np.unique(
                 np.concatenate([np.arange(a, b + 1) for a, b in spans] or [np.zeros(0, int)])
             )
-            for t in starts[starts <= len(shingles) - m].tolist():
+            # a document shorter than the item is its one window
+            last = max(0, len(shingles) - m)
+            for t in starts[starts <= last].tolist():
                 if (t, m) in done:
                     continue
                 done.add((t, m))
@@ -111,7 +114,7 @@ class Items:
                     # the greatest similarity, then the first window
                     rank = shared * old[1] - old[0] * joint if old else 1
                     if rank > 0 or rank == 0 and t < old[2]:
-                        best[j] = shared, joint, t
+                        best[j] = shared, joint, t, len(own) + self.size - 1
         for j in sorted(best):
             yield j, *best[j]
 
@@ -136,7 +139,8 @@ def find_items(docs: DataFrame, items: DataFrame, shingle: int = 5, percent: int
     `docs` needs `doc_id` and `text`, `items` needs `item_id` and `text`; other columns are
     not looked at. Words are lower-cased in A-Z. An item with fewer words than a shingle is
     one shingle of its own length. Returns doc_id, text_key (md5 of the text), item_id,
-    similarity, and start and n_words of the best window (the first of equals).
+    similarity, and start and n_words of the best window (the first of equals). A document
+    shorter than an item is compared as a whole.
 
     Defined cases: items and documents that are null or have no words match nothing; a row
     without doc_id is searched like any other; repeated documents give repeated rows and
@@ -180,8 +184,8 @@ def _search(docs: DataFrame, shared, shingle: int, percent: int) -> DataFrame:
                 last = np.minimum(np.maximum(words.first[1:] - items.size + 1, first), len(runs))
                 for i in np.flatnonzero(marked[last] - marked[first] >= least):
                     row = ids[i].as_py(), keys[i].as_py()
-                    for j, n, joint, t in items.search(runs[first[i] : last[i]], percent):
-                        out.append((*row, items.ids[j], n / joint, t, items.lengths[j]))
+                    for j, n, joint, t, size in items.search(runs[first[i] : last[i]], percent):
+                        out.append((*row, items.ids[j], n / joint, t, size))
             columns = list(zip(*out, strict=True)) or [()] * 6
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(

@@ -79,3 +79,16 @@ def test_blocks_find_all_within_the_radius():
         for bit in rng.sample(range(64), rng.randrange(D.RADIUS + 1)):
             b ^= 1 << bit
         assert set(D.blocks(a)) & set(D.blocks(b))
+
+
+def test_documents_shorter_than_the_item(spark):
+    a = prose(300, 40).split(" ")
+    texts = [a[:-1], a[1:], a[2:-2], a[4:-4], a[5:-4], a[:20] + a[21:], [*a[:30], "x"], prose(303, 39).split(" "), a[:3], []]
+    docs = awkward(spark, [(k, " ".join(t), "en", "s", 1) for k, t in enumerate(texts)])
+    items = spark.createDataFrame([(1, " ".join(a)), (2, "tiny item")], "item_id long, text string")
+    found = D.find_items(docs, items).collect()
+    got = {(r.doc_id, r.item_id, round(r.similarity, 9), r.start, r.n_words) for r in found}
+    # 36 shingles: one fewer for each word off the ends, five fewer for one from the middle
+    want = {(0, 1, 35 / 36, 0, 39), (1, 1, 35 / 36, 0, 39), (2, 1, 32 / 36, 0, 36), (5, 1, 31 / 36 * 36 / 40, 0, 39)}
+    assert got == {(d, i, round(s, 9), t, n) for d, i, s, t, n in want if s >= 0.8}
+    assert {r.doc_id for r in D.drop_contaminated(docs, items).collect()} == {3, 4, 5, 6, 7, 8, 9}
