@@ -27,6 +27,7 @@ ROUNDS = 3
 _SMOOTH = 0.05
 _LONG = 40
 _TOGETHER = 8192
+_CELLS = 1 << 18
 _CACHE = 1 << 19
 
 
@@ -160,7 +161,23 @@ class Lattice:
         return scale + np.log(alpha[len(word)])
 
     def expected(self, words: list[str], weights: np.ndarray, probs: np.ndarray) -> np.ndarray:
-        """Expected piece counts of weighted words in one language (words up to _LONG)."""
+        """Expected piece counts of weighted words in one language."""
+        sizes = np.array([len(w) for w in words])
+        counts = np.zeros(len(probs))
+        short = np.flatnonzero(sizes <= _LONG)
+        if len(short):
+            counts += self._expected([words[i] for i in short], weights[short], probs)
+        long = np.flatnonzero(sizes > _LONG)
+        long = long[np.argsort(sizes[long], kind="stable")]
+        while len(long):
+            # words of like length together, as many as have _CELLS characters
+            fit = sizes[long] * np.arange(1, len(long) + 1) <= _CELLS
+            some = long[: max(1, int(fit.sum()))]
+            long = long[len(some) :]
+            counts += self._expected_logs([words[i] for i in some], weights[some], probs)
+        return counts
+
+    def _expected(self, words: list[str], weights: np.ndarray, probs: np.ndarray) -> np.ndarray:
         n = max(map(len, words)) + 1
         alpha, beta = np.zeros((len(words), n)), np.zeros((len(words), n))
         ends = np.array([len(w) for w in words])
@@ -177,6 +194,25 @@ class Lattice:
             beta[w, a] += flow
         return counts
 
+    def _expected_logs(self, words: list[str], weights: np.ndarray, probs: np.ndarray) -> np.ndarray:
+        """The same in logarithms, for words whose probability would underflow."""
+        logs = np.log(probs)
+        ends = np.array([len(w) for w in words])
+        alpha = np.full((len(words), ends.max() + 1), -np.inf)
+        beta = alpha.copy()
+        steps = self.steps(words)
+        alpha[:, 0] = 0
+        for b, (w, a, piece) in steps:
+            alpha[w, b] = np.logaddexp(alpha[w, b], alpha[w, a] + logs[piece])
+        rows = np.arange(len(words))
+        beta[rows, ends] = -alpha[rows, ends]
+        counts = np.zeros(len(probs))
+        for b, (w, a, piece) in reversed(steps):
+            flow = logs[piece] + beta[w, b]
+            np.add.at(counts, piece, weights[w] * np.exp(alpha[w, a] + flow))
+            beta[w, a] = np.logaddexp(beta[w, a], flow)
+        return counts
+
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -200,7 +236,7 @@ def word_counts(docs: DataFrame, per_language: int) -> DataFrame:
             found: dict[str, Counter] = {}
             for lang, text in zip(batch.column("lang"), batch.column("text"), strict=True):
                 found.setdefault(lang.as_py(), Counter()).update(text_words(text.as_py()))
-            rows = [(a, w, n) for a, c in found.items() for w, n in c.items() if len(w) <= _LONG]
+            rows = [(a, w, n) for a, c in found.items() for w, n in c.items()]
             langs, words, n = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(langs, pa.string()), pa.array(words, pa.string()), pa.array(n, pa.int64())],
@@ -330,8 +366,8 @@ def identify(docs: DataFrame, model_file: str, per_language: int = PER_LANGUAGE)
     (ties go to the first by code point) and score its probability among the learned ones,
     all equally likely beforehand. A text that is null or has no letter gives `und` with
     score 0, as do all texts when nothing could be learned. Rows without doc_id count as
-    not held out. Words are lower-cased and cut at white space; only words up to _LONG
-    characters are learned from, all are scored. An empty table gives an empty result.
+    not held out. Words are lower-cased and cut at white space; words of any length
+    are learned from and scored. An empty table gives an empty result.
     """
     pieces = pieces_of(model_file)
     langs, probs = fit(docs, pieces, per_language)

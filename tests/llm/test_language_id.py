@@ -80,3 +80,33 @@ def test_awkward_rows(spark, model):
     unlabelled = docs.withColumn("lang", docs.lang.substr(9, 1).cast("string")).where("lang is null")
     assert {r.lang_pred for r in L.identify(unlabelled, model).collect()} <= {"und"}
     assert L.identify(awkward(spark, []), model).count() == 0
+
+
+def test_expected_counts_of_long_words(monkeypatch):
+    lattice = L.Lattice(PIECES)
+    probs = np.arange(1, len(PIECES) + 2) / 60
+    words = ["▁abab", "▁", "▁xaby", "▁" + "abba" * 10, "▁" + "ba" * 17]
+    n = np.array([2.5, 1, 3, 2, 4])
+    monkeypatch.setattr(L, "_LONG", 100)
+    want = lattice.expected(words, n, probs)
+    for cells in (1, 1 << 18):
+        monkeypatch.setattr(L, "_LONG", 3)
+        monkeypatch.setattr(L, "_CELLS", cells)
+        assert np.allclose(lattice.expected(words, n, probs), want)
+    found = lattice.expected(["▁" + "x" * 3000], np.array([2.0]), np.full(len(PIECES) + 1, 1e-4))
+    assert np.all(np.isfinite(found)) and np.isclose(found[lattice.unknown], 6000)
+
+
+def test_languages_without_spaces_are_learned(spark):
+    import random
+
+    rng = random.Random(3)
+    signs = {"xa": "天地玄黄宇宙洪荒", "xb": "宙洪荒日月盈昃辰"}
+    rows = [(k, "".join(rng.choices(signs[lang], k=60 + k)), lang) for k in range(60) for lang in signs]
+    docs = spark.createDataFrame([(2 * k + (c == "xb"), text, c) for k, text, c in rows], "doc_id long, text string, lang string")
+    pieces = ["▁", *dict.fromkeys("".join(signs.values())), "天地", "日月", "洪荒"]
+    langs, probs = L.fit(docs, pieces, rounds=2)
+    assert langs == ["xa", "xb"]
+    said = {r.doc_id: r.lang_pred for r in L.predict(docs, pieces, langs, probs).where("held_out").collect()}
+    assert len(said) > 10
+    assert all(said[d] == ("xb" if d % 2 else "xa") for d in said)
