@@ -14,8 +14,10 @@ from rivulet.llm.decontaminate import find_items
 from rivulet.llm.language_id import identify
 from rivulet.llm.licenses import scan_licenses
 from rivulet.llm.line_dedup import drop_shared_lines
+from rivulet.llm.manifest import manifest
 from rivulet.llm.mixing import mix_sizes
 from rivulet.llm.near_dedup import near_duplicates
+from rivulet.llm.oracles import MANIFEST
 from rivulet.llm.quality import score_documents
 from rivulet.llm.substring_dedup import remove_repeated
 from rivulet.llm.token_counts import count_tokens
@@ -264,3 +266,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
         definition = file.read()
     return count_tokens(documents(spark, sf_dir), scratch_dir(spark, "token-cache"), definition)
+
+
+@query(MANIFEST)
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle leaf, proof and verification of every document; a fifth arrives altered."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return manifest(documents(spark, sf_dir), tampered=crc % 5 == 0)

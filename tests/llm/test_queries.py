@@ -24,5 +24,5 @@ def test_query_returns_every_document(spark, name):
     assert "doc_id" in rows.columns
 
 
-def test_ten_operators():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+def test_all_operators():
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
