@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
+from rivulet.llm.bpe import decode_ids, encode_texts
 from rivulet.llm.common import documents
 from rivulet.llm.decontaminate import find_items
 from rivulet.llm.language_id import identify
@@ -268,6 +269,19 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir), scratch_dir(spark, "token-cache"), definition)
 
 
+@query()
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and the text that they decode to, as digests."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        definition = file.read()
+    decoded = decode_ids(encode_texts(documents(spark, sf_dir), definition), definition)
+    listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(listed, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 @query(MANIFEST)
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle leaf, proof and verification of every document; a fifth arrives altered."""
