@@ -18,8 +18,9 @@ from rivulet.llm.line_dedup import drop_shared_lines
 from rivulet.llm.manifest import manifest
 from rivulet.llm.mixing import mix_sizes
 from rivulet.llm.near_dedup import near_duplicates
-from rivulet.llm.oracles import MANIFEST
+from rivulet.llm.oracles import MANIFEST, REPAIR
 from rivulet.llm.quality import score_documents
+from rivulet.llm.repair import damaged, repair_all
 from rivulet.llm.substring_dedup import remove_repeated
 from rivulet.llm.token_counts import count_tokens
 from rivulet.llm.tool_calls import link_tool_calls
@@ -269,6 +270,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir), scratch_dir(spark, "token-cache"), definition)
 
 
+@query(REPAIR)
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cost, audit and repaired digest of all conversations, once damaged."""
+    conversations = documents(spark, sf_dir, "conversations")
+    return repair_all(conversations, damaged(conversations))
+
+
 @query()
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the text that they decode to, as digests."""
