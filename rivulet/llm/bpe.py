@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -399,9 +400,10 @@ def decode_ids(encoded: DataFrame, definition: str) -> DataFrame:
             texts = []
             for row in batch.column("ids"):
                 decoder, text = Decoder(table), []
-                ids = row.values
-                for at in range(0, len(ids) if ids is not None else 0, _SLICE):
-                    text.append(decoder.feed([i for i in ids[at : at + _SLICE].to_pylist() if i is not None and 0 <= i < len(table)]))
+                ids = pc.fill_null(row.values, -1).to_numpy() if row.is_valid else np.zeros(0, np.int32)
+                ids = ids[(ids >= 0) & (ids < len(table))]
+                for at in range(0, len(ids), _SLICE):
+                    text.append(decoder.feed(ids[at : at + _SLICE].tolist()))
                 texts.append("".join(text) + decoder.finish())
             columns = [batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "text"])
