@@ -13,8 +13,8 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, StructType
 
+from rivulet.operators.digests import exact_digest
 from rivulet.operators.key_moves import replay_moves
 from rivulet.operators.ordered import (
     BROADCAST_ROWS,
@@ -22,6 +22,7 @@ from rivulet.operators.ordered import (
     SLICE,
     HotGroups,
     hot_groups,
+    join_on_keys,
     running,
     slice_groups,
 )
@@ -175,7 +176,7 @@ def apply_ignore(
         done = per_key.select(reborn.alias("_row"))
     else:
         held = F.struct(*_columns(changes)).cast(changes.schema["row"].dataType)
-        both = base.select(*keys, held.alias("_base")).join(per_key, keys, "full")
+        both = join_on_keys(base.select(*keys, held.alias("_base")), per_key, keys, "full")
         never_dead = F.col("_base").isNotNull() & F.col("_dead").isNull()
         done = both.select(
             F.when(never_dead, F.coalesce("_u.row", "_base")).otherwise(reborn).alias("_row")
@@ -265,7 +266,7 @@ def _fold(base: DataFrame | None, log: DataFrame, keys: list[str], modes: Modes)
         both = per_key.withColumn("_base", none)
     else:
         held = F.struct(*columns).cast(log.schema["row"].dataType)
-        both = base.select(*keys, held.alias("_base")).join(per_key, keys, "full")
+        both = join_on_keys(base.select(*keys, held.alias("_base")), per_key, keys, "full")
     start = F.struct(F.col("_base").isNotNull().alias("live"), F.col("_base").alias("row"))
     empty = F.array().cast(per_key.schema["_log"].dataType)
     end = F.aggregate(F.coalesce("_log", empty), start, _step(modes))
@@ -280,26 +281,6 @@ def _fold(base: DataFrame | None, log: DataFrame, keys: list[str], modes: Modes)
 # The three special states. Other states are digests of rows.
 _ABSENT, _ANY_LIVE, _ERROR = "", "*", "!"
 
-# Times in full, so that rows differing in microseconds only get different digests.
-_EXACT = {
-    "ignoreNullFields": "false",
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-}
-
-
-def _digest(row: str, types: StructType) -> Column:
-    """Digest under which rows are equal as by `<=>`: 0.0 and -0.0 are the same."""
-    fields = []
-    for field in types.fields:
-        value = F.col(row)[field.name]
-        if isinstance(field.dataType, DoubleType | FloatType):
-            value = F.when(value == 0, F.lit(0.0).cast(field.dataType)).otherwise(value)
-        fields.append(value.alias(field.name))
-    same = F.when(F.col(row).isNotNull(), F.struct(*fields))
-    return F.sha2(F.to_json(same, _EXACT), 256)
-
-
 def _entries(log: DataFrame, keys: list[str], modes: Modes) -> DataFrame:
     """(keys…, at, need, give, give_seq) rows of a keyed change log."""
 
@@ -308,7 +289,7 @@ def _entries(log: DataFrame, keys: list[str], modes: Modes) -> DataFrame:
 
     absent, live, error = F.lit(_ABSENT), F.lit(_ANY_LIVE), F.lit(_ERROR)
     types = log.schema["row"].dataType
-    row = _digest("row", types)
+    row = exact_digest("row", types)
     always = F.array(entry(absent, row), entry(live, row))
     inserts = {
         "native": F.array(entry(absent, row), entry(live, error)),
@@ -319,7 +300,7 @@ def _entries(log: DataFrame, keys: list[str], modes: Modes) -> DataFrame:
     if modes.umode == "replace":
         updates = always
     else:
-        updates = F.array(entry(live if by_key else _digest("old", types), row))
+        updates = F.array(entry(live if by_key else exact_digest("old", types), row))
     deletes = F.array(entry(live if by_key else row, absent))
     made = (
         F.when(F.col("op") == "insert", inserts)
@@ -396,7 +377,7 @@ def _reachable(entries: DataFrame, start: DataFrame, keys: list[str]) -> DataFra
     )
     special = entries.where(F.col("need").isin(_ABSENT, _ANY_LIVE))
     rows = entries.where(~F.col("need").isin(_ABSENT, _ANY_LIVE))
-    return special.unionByName(rows.join(states, [*keys, "need"], "left_semi"))
+    return special.unionByName(join_on_keys(rows, states, [*keys, "need"], "left_semi"))
 
 
 def _advance(state: DataFrame, entries: DataFrame, keys: list[str]) -> DataFrame:
@@ -404,7 +385,7 @@ def _advance(state: DataFrame, entries: DataFrame, keys: list[str]) -> DataFrame
     moves = entries.select(*[F.col(k).alias(f"_e_{k}") for k in keys], "need", "give", "give_seq")
     same = F.lit(True)
     for key in keys:
-        same = same & (F.col(key) == F.col(f"_e_{key}"))
+        same = same & F.col(key).eqNullSafe(F.col(f"_e_{key}"))
     live = ~F.col("value").isin(_ABSENT, _ERROR)
     exact = F.col("need") == F.col("value")
     hits = state.join(moves, same & (exact | (live & (F.col("need") == _ANY_LIVE))), "left")
@@ -452,10 +433,11 @@ def _replay_hot(
         held = None
         start = owners.withColumn("value", F.lit(_ABSENT))
     else:
-        held = base.join(hot.hint()(owners), keys, "left_semi").select(
+        held = join_on_keys(base, hot.hint()(owners), keys, "left_semi").select(
             *keys, F.struct(*columns).cast(log.schema["row"].dataType).alias("row")
         )
-        start = owners.join(held.select(*keys, _digest("row", types).alias("value")), keys, "left").withColumn(
+        values = held.select(*keys, exact_digest("row", types).alias("value"))
+        start = join_on_keys(owners, values, keys).withColumn(
             "value", F.coalesce("value", F.lit(_ABSENT))
         )
     state = stage(start.withColumn("value_seq", F.lit(_BASE_SEQ).cast("bigint")), "hot-state")
@@ -483,7 +465,7 @@ def _replay_hot(
     if held is not None:
         rows = rows.unionByName(held.withColumn("seq", F.lit(_BASE_SEQ).cast("bigint")))
     hint = F.broadcast if small else (lambda df: df)
-    return rows.join(hint(final), [*keys, "seq"], "left_semi").select("row.*")
+    return join_on_keys(rows, hint(final), [*keys, "seq"], "left_semi").select("row.*")
 
 
 def apply_fold(
@@ -520,9 +502,9 @@ def _replay(
     if hot is None:
         return _fold(base, log, keys, modes)
     flags = hot.hint()(hot.frame)
-    cold_base = None if base is None else base.join(flags, keys, "left_anti")
-    cold = _fold(cold_base, log.join(flags, keys, "left_anti"), keys, modes)
-    warm = _replay_hot(base, log.join(flags, keys, "left_semi"), keys, modes, hot, cap)
+    cold_base = None if base is None else join_on_keys(base, flags, keys, "left_anti")
+    cold = _fold(cold_base, join_on_keys(log, flags, keys, "left_anti"), keys, modes)
+    warm = _replay_hot(base, join_on_keys(log, flags, keys, "left_semi"), keys, modes, hot, cap)
     return cold.unionByName(warm)
 
 

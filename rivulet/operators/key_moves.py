@@ -19,6 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rivulet.operators.digests import exact_digest
 from rivulet.operators.graph import components
 from rivulet.util import stage
 
@@ -26,12 +27,6 @@ from rivulet.util import stage
 FOLD_WORK = 200_000_000
 
 
-def _key(image: str, keys: list[str]) -> Column:
-    """A digest of a row's key, also where parts are NULL."""
-    parts = F.struct(*(F.col(image)[k].alias(k) for k in keys))
-    return F.sha2(F.to_json(parts, {"ignoreNullFields": "false"}), 256)
-
-
 def _without(rows: Column, key: Column) -> Column:
     return F.map_filter(rows, lambda k, _: k != key)
 
@@ -103,15 +98,15 @@ def replay_moves(
     `replay` applies changes to a base with the same modes; components that are too large to
     fold are given to it in halves.
     """
-    keyed = changes.withColumns({"_k": _key("row", keys)})
-    old = F.when(F.col("op") == "update", F.coalesce(_key("old", keys), F.col("_k")))
+    kind = changes.schema["row"].dataType
+    keyed = changes.withColumns({"_k": exact_digest("row", kind, keys)})
+    old = F.when(F.col("op") == "update", F.coalesce(exact_digest("old", kind, keys), F.col("_k")))
     has_old = F.col("old").isNotNull() & (F.col("op") == "update")
     keyed = keyed.withColumn("_o", F.when(has_old, old).when(F.col("op") == "update", F.col("_k")))
     keyed = stage(keyed, "keyed-log")
     edges = keyed.where("_o <> _k").select(F.col("_o").alias("x"), F.col("_k").alias("y"))
     owner = stage(components(edges).select(F.col("node").alias("_k"), "root"), "moved-keys")
     own = keyed.join(owner, "_k")
-    kind = changes.schema["row"].dataType
     sizes = own.groupBy("root").agg(
         F.count("*").alias("n"), F.count_if(F.col("op") == "insert").alias("live"),
         (F.min("seq") < F.max("seq")).alias("cuts"),
@@ -120,7 +115,7 @@ def replay_moves(
     if base is not None:
         image = F.struct(*kind.fieldNames()).cast(kind)
         marked = base.select(F.struct(*base.columns).alias("_b"), image.alias("row"))
-        marked = marked.withColumn("_k", _key("row", keys))
+        marked = marked.withColumn("_k", exact_digest("row", kind, keys))
         held = marked.join(owner, "_k").groupBy("root").agg(F.count("*").alias("held"))
         live = F.col("live") + F.coalesce("held", F.lit(0))
         sizes = sizes.join(held, "root", "left").withColumn("live", live)
