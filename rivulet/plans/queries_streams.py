@@ -76,6 +76,19 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read()
 
 
+@query(S.REPLACED)
+def stream_split_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The replace mode into a table that begins with one bucket and splits on the way."""
+    home = scratch_dir(spark, "stream-splits")
+    _write_keyed(account_messages(spark, sf_dir), f"{home}/log")
+    users = table(spark, sf_dir, "events").agg(F.count_distinct("user_id")).first()[0]
+    target = BucketedTable(
+        spark, f"{home}/target", _ACCOUNT_DDL, ["user_id"], buckets=1, bucket_rows=1 + users // 24
+    )
+    _run_apply(spark, home, target)
+    return target.read()
+
+
 @query(
     f"""with {S.LOG} select 'shop.' || (user_id % 4) as token, max(seq) + 1 as next_offset
 from log group by 1"""

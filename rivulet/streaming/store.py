@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rivulet.sinks.tables import _exists
+from rivulet.sinks.commits import exists
 
 
 class BatchStore:
@@ -21,7 +21,7 @@ class BatchStore:
         self.schema = schema
 
     def _all(self) -> DataFrame | None:
-        if not _exists(self.spark, self.path):
+        if not exists(self.spark, self.path):
             return None
         return self.spark.read.schema(f"{self.schema}, batch BIGINT").parquet(self.path)
 
