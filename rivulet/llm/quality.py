@@ -28,13 +28,15 @@ def ngrams(text: Column, buckets: int = BUCKETS) -> Column:
     """Buckets of the tokens and of each token with its successor (the last has none)."""
     tokens = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_TOKEN), F.lit(0))
 
+    def bucket(x: Column) -> Column:
+        # of a power of two, the low bits are the remainder, and cheaper
+        return x.bitwiseAND(F.lit(buckets - 1)) if buckets & (buckets - 1) == 0 else F.pmod(x, F.lit(buckets))
+
     def both(h: Column) -> Column:
         following = F.slice(h, 2, F.greatest(F.size(h), F.lit(1)))
         return F.concat(
-            F.transform(h, lambda x: F.pmod(x, F.lit(buckets)).cast("int")),
-            F.zip_with(
-                h, following, lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(buckets)).cast("int")
-            ),
+            F.transform(h, lambda x: bucket(x).cast("int")),
+            F.zip_with(h, following, lambda a, b: bucket(F.xxhash64(a, b)).cast("int")),
         )
 
     return let(F.transform(tokens, lambda x: F.xxhash64(x)), both)
@@ -79,26 +81,23 @@ def repeated_words(w: Column) -> Column:
 
 
 def base_counts(text: Column) -> list[Column]:
-    """n_words and n_repeat_words as struct `w`; word_chars, n_symbols, n_dup_lines."""
+    """n_words, n_repeat_words and word_chars as struct `w`; n_symbols, n_dup_lines."""
     text = F.coalesce(text, F.lit(""))
     by_words = let(
         words(text),
         lambda w: F.struct(
             F.size(w).cast("long").alias("n_words"),
             repeated_words(w).cast("long").alias("n_repeat_words"),
+            F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
         ),
     )
     lines = F.filter(
         F.split(text, "\n", -1), lambda x: F.length(F.btrim(x, F.lit(" \t\x0b\x0c\r"))) > 0
     )
 
-    def without(chars: str) -> Column:
-        return F.length(F.translate(text, chars, ""))
-
     return [
         by_words.alias("w"),
-        without(" \t\n\x0b\x0c\r").cast("long").alias("word_chars"),
-        (F.length(text) - without("#*$%&|<>")).cast("long").alias("n_symbols"),
+        F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
         .cast("long")
         .alias("n_dup_lines"),
@@ -177,7 +176,7 @@ def score_documents(
         F.struct(*own).alias("own"), *base_counts(text), let(ngrams(text, buckets), mean).alias("score")
     )
     return scored.select(
-        "own.*", "w.n_words", "word_chars", "n_symbols", "n_dup_lines", "w.n_repeat_words",
+        "own.*", "w.n_words", "w.word_chars", "n_symbols", "n_dup_lines", "w.n_repeat_words",
         failed.alias("base_failed"), "score",
         (~failed & F.coalesce(F.col("score") >= threshold, F.lit(False))).alias("kept"),
     )
