@@ -84,10 +84,9 @@ def drop_shared_lines(
 
     `docs` needs `text` and the site column; all columns are kept, n_lines and n_removed
     give way to the new ones. Lines are split at newlines and compared without white space
-    at their ends; lines without a visible character are kept. A document of which more
-    than half the characters would go counts as a copy and is left whole, for near-duplicate
-    removal to judge; with `by_text` shared lines are those that `min_sites` distinct texts
-    hold too, and they always go, whatever share of a document they are.
+    at their ends; lines without a visible character are kept. Shared lines always go,
+    whatever share of a document they are; with `by_text` they are those that `min_sites`
+    distinct texts hold too, so that exact copies of a text do not make its lines shared.
 
     Defined cases: a null text stays null and has 0 lines; the null site is one site;
     repeated rows are rows like any others and do not add sites; an empty table gives an
@@ -121,9 +120,7 @@ def drop_shared_lines(
     stripped = F.when(F.col("b.bad").isNotNull(), let(lines, strip))
     done = let(
         stripped,
-        lambda s: F.when(
-            s.isNotNull() if by_text else 2 * F.length(s["text"]) >= F.length(F.col("d.text")), s
-        ).otherwise(whole),
+        lambda s: F.when(s.isNotNull(), s).otherwise(whole),
     )
     return joined.select(*(F.col(f"d.`{c}`") for c in own if c != "text"), done.alias("_done")).select(
         *(F.col("_done.text") if c == "text" else F.col(f"`{c}`") for c in own),

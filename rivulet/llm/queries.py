@@ -56,9 +56,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     string_agg(line, chr(10) order by pos) filter (s.key is null) as kept
   from bare b left join shared s on b.key = s.key group by doc_id
 )
-select d.doc_id, coalesce(n_lines, 0) as n_lines,
-  case when 2 * length(coalesce(kept, '')) >= length(text) then n_removed else 0 end as n_removed,
-  case when 2 * length(coalesce(kept, '')) >= length(text) then coalesce(kept, '') else text end as text
+select d.doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed,
+  case when text is not null then coalesce(kept, '') end as text
 from documents d left join kept k on d.doc_id = k.doc_id"""
 )
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,11 +19,8 @@ def brute(rows, least):
     for doc_id, text, *_ in rows:
         lines = [] if text is None else text.split("\n")
         kept = [x for x in lines if x.strip(BLANK) not in shared]
-        stripped = "\n".join(kept)
-        if text is None or 2 * len(stripped) < len(text):
-            out.append((doc_id, len(lines), 0, text))
-        else:
-            out.append((doc_id, len(lines), len(lines) - len(kept), stripped))
+        stripped = None if text is None else "\n".join(kept)
+        out.append((doc_id, len(lines), len(lines) - len(kept), stripped))
     return sorted(out, key=str)
 
 
