@@ -25,6 +25,7 @@ from rivulet.sources.messages import read_files
 from rivulet.streaming import apply_documents_stream, apply_rows_stream, drain, gate_stream
 from rivulet.streaming.apply import progress_store
 from rivulet.streaming.gate import position_store
+from rivulet.streaming.rejects import RejectStore
 from rivulet.util import scratch_dir
 
 _ACCOUNT_DDL = ", ".join(f"{name} {kind}" for name, kind in ACCOUNT.items())
@@ -76,6 +77,38 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read()
 
 
+@query(
+    f"""with {S.LOG} select 'shop' as topic, (seq % 4)::int as "partition", seq as "offset",
+  case when seq % 19 = 0 then 'malformed' when seq % 17 = 0 then 'bad_key' else 'bad_value' end as reason,
+  case when seq % 19 = 0 then '' when seq % 17 = 0 and seq % 13 = 0 then 'user_id,value'
+    when seq % 17 = 0 then 'user_id' else 'value' end as fields
+from log where seq % 19 = 0 or (type <> 'replace' and (seq % 17 = 0 or seq % 13 = 0))"""
+)
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream could not apply: broken texts, keys and values of another type."""
+    home = scratch_dir(spark, "stream-rejects")
+    log = account_log(spark, sf_dir)
+    seq = F.col("seq")
+    data = F.transform_values(
+        "data",
+        lambda k, v: F.when((k == "user_id") & (seq % 17 == 0), F.concat(F.lit("u"), v))
+        .when((k == "value") & (seq % 13 == 0), F.lit("n/a")).otherwise(v),
+    )
+    faulty = log.withColumn("data", data)
+    fields = [c for c in log.columns if c != "seq"]
+    messages = faulty.select(
+        F.lit("shop").alias("topic"), (seq % 4).cast("int").alias("partition"), seq.alias("offset"),
+        F.when(seq % 19 == 0, F.lit("not json")).otherwise(encode(faulty, fields)).alias("value"),
+    )
+    _write_keyed(messages, f"{home}/log")
+    stream = read_files(spark, f"{home}/log", "shop", streaming=True, files_per_trigger=2)
+    rejects = RejectStore(spark, f"{home}/rejects")
+    target = _account_target(spark, home)
+    drain(apply_rows_stream(stream, target, ACCOUNT, f"{home}/checkpoint", _REPLACE, rejects=rejects))
+    found = rejects.read()
+    return found.select("topic", "partition", "offset", "reason", F.array_join("fields", ",").alias("fields"))
+
+
 @query(S.REPLACED)
 def stream_split_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The replace mode into a table that begins with one bucket and splits on the way."""

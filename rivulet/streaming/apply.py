@@ -14,6 +14,7 @@ from rivulet.operators.envelope import decode_documents, decode_rows, table_key
 from rivulet.operators.progress import consumer_progress, progress_tokens
 from rivulet.operators.routing import route_documents, route_rows
 from rivulet.sinks.tables import BucketedTable
+from rivulet.streaming.rejects import RejectStore, malformed, misfits
 from rivulet.streaming.store import BatchStore
 
 
@@ -82,6 +83,7 @@ def apply_rows_stream(
     repair: Callable[[DataFrame], DataFrame] | None = None,
     table: str | None = None,
     trigger: dict | None = None,
+    rejects: RejectStore | None = None,
 ) -> StreamingQuery:
     """Replay relational messages onto a table, batch by batch.
 
@@ -89,7 +91,7 @@ def apply_rows_stream(
     table they name. `apply_tables_stream` says what the other parameters mean.
     """
     return apply_tables_stream(
-        messages, {table: (target, columns)}, checkpoint, modes, seq, progress, repair, trigger
+        messages, {table: (target, columns)}, checkpoint, modes, seq, progress, repair, trigger, rejects
     )
 
 
@@ -102,6 +104,7 @@ def apply_tables_stream(
     progress: BatchStore | None = None,
     repair: Callable[[DataFrame], DataFrame] | None = None,
     trigger: dict | None = None,
+    rejects: RejectStore | None = None,
 ) -> StreamingQuery:
     """Replay relational messages onto the tables they name, batch by batch.
 
@@ -110,7 +113,8 @@ def apply_tables_stream(
     batch (the message offset by default: give it if a key's messages come from several
     partitions) and `repair` may fix payloads. Progress is saved after all targets have
     committed, and a target skips a batch it already holds, so nothing is lost or applied
-    twice. `trigger` holds options of Spark's trigger, such as
+    twice. `rejects` keeps the messages that are malformed or hold values that do not fit,
+    before the targets commit. `trigger` holds options of Spark's trigger, such as
     {"processingTime": "5 seconds"} to run until stopped; by default the stream ends when
     it is drained.
     """
@@ -119,14 +123,19 @@ def apply_tables_stream(
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         envelopes = decode_rows(batch)
         envelopes = repair(envelopes) if repair else envelopes
-        shared = len(targets) > 1
+        shared = len(targets) > 1 or rejects is not None
         routed = route_rows(envelopes)
         routed = routed.persist() if shared else routed
+        own = table_key(F.col("database"), F.col("table"))
+        chosen = {n: routed if n is None else routed.where(own == F.lit(n)) for n in targets}
         try:
+            if rejects is not None:
+                found = malformed(routed)
+                for name, (target, columns) in targets.items():
+                    found = found.unionByName(misfits(chosen[name], columns, target.keys, name))
+                rejects.save(batch_id, batch, found)
             for name, (target, columns) in targets.items():
-                own = table_key(F.col("database"), F.col("table")) == F.lit(name)
-                chosen = routed if name is None else routed.where(own)
-                _replay_on(target, chosen, columns, order, modes, batch_id)
+                _replay_on(target, chosen[name], columns, order, modes, batch_id)
         finally:
             if shared:
                 routed.unpersist()
@@ -142,13 +151,20 @@ def apply_documents_stream(
     seq: Column | None = None,
     progress: BatchStore | None = None,
     trigger: dict | None = None,
+    rejects: RejectStore | None = None,
 ) -> StreamingQuery:
-    """Replay document messages onto a collection, batch by batch; by default until drained."""
+    """Replay document messages onto a collection, batch by batch; by default until drained.
+
+    `rejects` keeps the malformed messages, before the collection commits.
+    """
     order = F.col("m_offset") if seq is None else seq
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        changes = document_changes(route_documents(decode_documents(batch)), order).persist()
+        routed = route_documents(decode_documents(batch))
+        changes = document_changes(routed, order).persist()
         try:
+            if rejects is not None:
+                rejects.save(batch_id, batch, malformed(routed))
             target.apply(
                 batch_id, changes.select("_id"), lambda base: apply_documents(base, changes)
             )

@@ -1,0 +1,69 @@
+import pytest
+
+from rivulet.operators.apply_rows import Modes
+from rivulet.sinks.messages import write_files
+from rivulet.sinks.tables import BucketedTable
+from rivulet.sources.messages import read_files
+from rivulet.streaming import apply_documents_stream, apply_rows_stream, drain
+from rivulet.streaming.rejects import RejectStore
+
+COLUMNS = {"k": "bigint", "s": "int"}
+REPLACE = Modes(imode="replace", umode="replace", match="key")
+
+
+def write(spark, path, values, start=0):
+    rows = [("d-t", 0, start + n, v) for n, v in enumerate(values)]
+    schema = "topic STRING, partition INT, offset BIGINT, value STRING"
+    write_files(spark.createDataFrame(rows, schema).coalesce(1), path)
+
+
+def change(k, s, kind="insert", old=None):
+    old = f',"old":{{"k":"{old}"}}' if old else ""
+    return f'{{"type":"{kind}","database":"d","table":"t","data":{{"k":"{k}","s":"{s}"}}{old}}}'
+
+
+def rows(store):
+    return sorted((r.offset, r.reason, r.fields, r.value) for r in store.read().collect())
+
+
+def test_rejects_are_kept_before_the_commit_and_once(spark, tmp_path, monkeypatch):
+    home = str(tmp_path)
+    values = ["{", change("1", "5"), change("x", "5"), change("2", "y"), '{"a":1}', change("q", "z"), change("3", "1", "update", "no"), change("1", "9", "ddl?")]
+    write(spark, f"{home}/log", values)
+    target = BucketedTable(spark, f"{home}/t", "k BIGINT, s INT", ["k"], buckets=2)
+    store = RejectStore(spark, f"{home}/rejects")
+    want = [
+        (0, "malformed", [], "{"), (2, "bad_key", ["k"], values[2]), (3, "bad_value", ["s"], values[3]),
+        (4, "malformed", [], values[4]), (5, "bad_key", ["k", "s"], values[5]), (6, "bad_key", ["k"], values[6]),
+    ]
+
+    def run():
+        stream = read_files(spark, f"{home}/log", "d-t", streaming=True)
+        drain(apply_rows_stream(stream, target, COLUMNS, f"{home}/cp", REPLACE, rejects=store))
+
+    with monkeypatch.context() as m:
+        m.setattr(BucketedTable, "apply", lambda *_: 1 / 0)
+        with pytest.raises(Exception, match="division"):
+            run()
+    assert rows(store) == want and target.last_batch() is None
+    run()
+    assert rows(store) == want
+    assert {r["k"]: r["s"] for r in target.read().collect()} == {1: 5, 2: None}
+    write(spark, f"{home}/log", [change("4", "4"), "["], 50)
+    run()
+    assert rows(store) == [*want, (51, "malformed", [], "[")]
+    assert {(r.batch, r.reason): r.messages for r in store.counts().collect()} == {
+        (0, "malformed"): 2, (0, "bad_key"): 3, (0, "bad_value"): 1, (1, "malformed"): 1,
+    }
+
+
+def test_document_streams_keep_malformed_messages(spark, tmp_path):
+    home = str(tmp_path)
+    good = '{"operationType":"insert","ns":{"db":"d","coll":"c"},"documentKey":"a","fullDocument":{"x":"1"}}'
+    write(spark, f"{home}/log", [good, "nothing"])
+    target = BucketedTable(spark, f"{home}/t", "_id STRING, doc MAP<STRING,STRING>", ["_id"], 2)
+    store = RejectStore(spark, f"{home}/rejects")
+    stream = read_files(spark, f"{home}/log", "d-t", streaming=True)
+    drain(apply_documents_stream(stream, target, f"{home}/cp", rejects=store))
+    assert rows(store) == [(1, "malformed", [], "nothing")] and target.read().count() == 1
+    assert RejectStore(spark, f"{home}/none").read().count() == 0
