@@ -129,8 +129,8 @@ class Pipeline:
         """Run the relational consumer as a stream: `db.table` -> (target, columns).
 
         All targets are fed from one decoding. With `forced` everything goes to the one
-        target. `options` are those of `apply_tables_stream`: modes, seq, progress, repair
-        and trigger.
+        target. `options` are those of `apply_tables_stream`: modes, seq, progress, repair,
+        trigger and rejects.
         """
         if forced and len(targets) != 1:
             raise ValueError("a forced target must be the only one")
