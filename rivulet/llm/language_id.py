@@ -26,6 +26,8 @@ PER_LANGUAGE = 2000
 ROUNDS = 3
 _SMOOTH = 0.05
 _LONG = 40
+# Below this, what rounds to zero on the way could matter: such words take logarithms.
+_LEAST = 1e-270
 _TOGETHER = 8192
 _CELLS = 1 << 18
 _CACHE = 1 << 19
@@ -139,12 +141,26 @@ class Lattice:
             for b, (w, a, piece) in self.steps(picked):
                 alpha[w, b] += alpha[w, a] * probs[piece]
             ends = np.array([len(w) for w in picked])
-            out[short] = np.log(alpha[np.arange(len(short)), ends])
+            found = alpha[np.arange(len(short)), ends]
+            tiny = np.flatnonzero((found < _LEAST).any(axis=1))
+            found[tiny] = 1
+            out[short] = np.log(found)
+            if len(tiny):
+                out[np.array(short)[tiny]] = self._logs([picked[i] for i in tiny], probs)
         for i, word in enumerate(words):
             if len(word) > _LONG:
                 out[i] = self._long(word, probs)
         return out
 
+    def _logs(self, words: list[str], probs: np.ndarray) -> np.ndarray:
+        """The same in logarithms, for words of few characters with tiny probabilities."""
+        logs = np.log(probs)
+        alpha = np.full((len(words), max(map(len, words)) + 1, probs.shape[1]), -np.inf)
+        alpha[:, 0] = 0
+        for b, (w, a, piece) in self.steps(words):
+            alpha[w, b] = np.logaddexp(alpha[w, b], alpha[w, a] + logs[piece])
+        return alpha[np.arange(len(words)), [len(w) for w in words]]
+
     def _long(self, word: str, probs: np.ndarray) -> np.ndarray:
         """The same with scaling, for words whose probability would underflow."""
         alpha = {0: np.ones(probs.shape[1])}
@@ -186,8 +202,13 @@ class Lattice:
         for b, (w, a, piece) in steps:
             alpha[w, b] += alpha[w, a] * probs[piece]
         rows = np.arange(len(words))
-        beta[rows, ends] = weights / alpha[rows, ends]
         counts = np.zeros(len(probs))
+        tiny = np.flatnonzero(alpha[rows, ends] < _LEAST)
+        if len(tiny):
+            counts += self._expected_logs([words[i] for i in tiny], weights[tiny], probs)
+            alpha[tiny, ends[tiny]], weights = 1, weights.copy()
+            weights[tiny] = 0
+        beta[rows, ends] = weights / alpha[rows, ends]
         for b, (w, a, piece) in reversed(steps):
             flow = probs[piece] * beta[w, b]
             np.add.at(counts, piece, alpha[w, a] * flow)

@@ -110,3 +110,30 @@ def test_languages_without_spaces_are_learned(spark):
     said = {r.doc_id: r.lang_pred for r in L.predict(docs, pieces, langs, probs).where("held_out").collect()}
     assert len(said) > 10
     assert all(said[d] == ("xb" if d % 2 else "xa") for d in said)
+
+
+def test_unseen_characters_after_a_large_fit():
+    """Forty unseen characters after 10^7 pieces: finite in every language, and learnable."""
+    lattice = L.Lattice(PIECES)
+    probs = np.full((len(PIECES) + 1, 3), 0.1)
+    probs[lattice.unknown] = [0.05 / 1e7, 0.05 / 2e7, 0.05 / 5e6]
+    probs /= probs.sum(axis=0)
+    words = ["▁" + "ж" * 39, "▁ab", "▁" + "ж" * 34, "▁" + "ж" * 60]
+    found = lattice.log_likelihood(words, probs)
+    assert np.all(np.isfinite(found))
+    assert found[0].argmax() == found[2].argmax() == found[3].argmax() == 2
+    for k, n in ((0, 39), (2, 34), (3, 60)):
+        want = np.log(probs[lattice.index["▁"]]) + n * np.log(probs[lattice.unknown])
+        assert np.allclose(found[k], want)
+    n = np.array([3.0, 2.0, 1.0, 1.0])
+    counts = lattice.expected(words, n, probs[:, 0])
+    assert np.all(np.isfinite(counts))
+    assert np.isclose(counts[lattice.unknown], 3 * 39 + 34 + 60)
+
+
+def test_scores_of_unseen_characters_stay_in_range(spark):
+    docs = spark.createDataFrame([(1, "ж" * 39 + " " + "ж" * 39)], "doc_id long, text string")
+    probs = np.full((len(PIECES) + 1, 2), 0.1)
+    probs[-1] = [1e-10, 1e-9]
+    row = L.predict(docs, PIECES, ["xa", "xb"], probs).first()
+    assert (row.lang_pred, round(row.score, 6)) == ("xb", 1.0)
