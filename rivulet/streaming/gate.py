@@ -24,6 +24,7 @@ def gate_stream(
     ts: str = "ts",
     seq: str = "seq",
     documents: bool = False,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Drop changes older than the last accepted time of their table, over all batches.
 
@@ -31,7 +32,9 @@ def gate_stream(
     cluster time (time, inc). Each batch runs the batch gate, which cuts a table holding
     most rows into slices, against the stored positions; no watermark is used, since
     lateness is exact and per table. Output goes to one folder per batch, so a replayed
-    batch replaces its own rows.
+    batch replaces its own rows. `trigger` is a stream trigger's arguments, such as
+    {"processingTime": "5 seconds"} for a gate that runs until it is stopped; without it the
+    gate ends when everything available is processed. Both may share one checkpoint.
     """
     store = position_store(stream.sparkSession, state_path, keys)
     gate = gate_documents if documents else gate_rows
@@ -58,6 +61,6 @@ def gate_stream(
     return (
         stream.writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )

@@ -144,6 +144,27 @@ def test_stream_gate_carries_positions_over_restarts(spark, tmp_path):
     assert {r["tbl"]: r["time"] for r in last.collect()} == want
 
 
+def test_gate_that_keeps_running_and_starts_again(spark, tmp_path):
+    rng = random.Random(4)
+    events = [(seq, rng.choice("ab"), rng.randrange(60)) for seq in range(60)]
+    home = str(tmp_path)
+    for low, trigger in ((0, {"processingTime": "0 seconds"}), (40, {"processingTime": "1 second"})):
+        query = None
+        for at in range(low, min(low + 40, 60), 20):
+            frame = spark.createDataFrame(events[at : at + 20], "seq BIGINT, tbl STRING, ts BIGINT")
+            frame.coalesce(1).write.mode("append").parquet(f"{home}/log")
+            if query is None:
+                stream = spark.readStream.schema(frame.schema).parquet(f"{home}/log")
+                query = gate_stream(
+                    stream, ["tbl"], f"{home}/state", f"{home}/out", f"{home}/cp", trigger=trigger
+                )
+            query.processAllAvailable()
+        assert query.isActive
+        query.stop()
+    got = spark.read.schema(frame.schema).parquet(f"{home}/out").select("seq", "tbl", "ts")
+    assert sorted(tuple(r) for r in got.collect()) == replay_gate(events)
+
+
 def test_batch_store_reads_what_held_before_a_batch(spark, tmp_path):
     store = BatchStore(spark, str(tmp_path / "s"), "k STRING, v INT")
     assert store.before() is None
