@@ -4,7 +4,8 @@ A HyperLogLog sketch of sites is kept per line hash; sketches merge by aggregati
 the shuffle and after it. Lines whose estimate is near the threshold (between half and
 twice of it, over ten standard errors) get an exact distinct count; the others are decided
 by their estimate, which is then sure to be on the right side. Counted by text, a line needs
-as many distinct texts too, so that copies of one text do not make its lines shared.
+as many distinct texts too, so that copies of one text do not make its lines shared; given
+groups of near copies, a group counts as one text.
 """
 
 from __future__ import annotations
@@ -25,14 +26,19 @@ def lines_of(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _hashed(docs: DataFrame, site: str) -> DataFrame:
-    """(h1, h2, site, text_key, at) of every line with a visible character."""
+def _hashed(docs: DataFrame, site: str, groups: DataFrame | None = None) -> DataFrame:
+    """(h1, h2, site, text_key, at) of every line with a visible character; with `groups`,
+    text_key is that of the text's group."""
     named = F.coalesce(F.concat(F.lit("s"), F.col(site).cast("string")), F.lit("n"))
     bare = F.btrim("line", F.lit(_BLANK))
+    texts = docs.select(named.alias("site"), text_key("text").alias("text_key"), "text")
+    if groups is not None:
+        texts = texts.join(small(groups), "text_key", "left").select(
+            "site", F.coalesce("group_key", "text_key").alias("text_key"), "text"
+        )
     return (
-        docs.select(
-            named.alias("site"), text_key("text").alias("text_key"),
-            F.posexplode(lines_of(F.col("text"))).alias("at", "line"),
+        texts.select(
+            "site", "text_key", F.posexplode(lines_of(F.col("text"))).alias("at", "line")
         )
         .select("site", "text_key", "at", bare.alias("line"))
         .where("line <> ''")
@@ -44,11 +50,15 @@ def _hashed(docs: DataFrame, site: str) -> DataFrame:
 
 
 def shared_lines(
-    docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, by_text: bool = False
+    docs: DataFrame,
+    site: str = "source",
+    min_sites: int = MIN_SITES,
+    by_text: bool = False,
+    groups: DataFrame | None = None,
 ) -> DataFrame:
     """(h1, h2) of the lines that occur on `min_sites` sites or more, with `by_text` also in
     as many distinct texts."""
-    lines = _hashed(docs, site)
+    lines = _hashed(docs, site, groups)
     counted = {"sites": "site", "texts": "text_key"} if by_text else {"sites": "site"}
 
     def least(n: int | float) -> Column:
@@ -78,7 +88,11 @@ def shared_lines(
 
 
 def drop_shared_lines(
-    docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES, by_text: bool = False
+    docs: DataFrame,
+    site: str = "source",
+    min_sites: int = MIN_SITES,
+    by_text: bool = False,
+    groups: DataFrame | None = None,
 ) -> DataFrame:
     """`docs` with `text` less the lines on `min_sites` sites or more, n_lines and n_removed.
 
@@ -87,12 +101,14 @@ def drop_shared_lines(
     at their ends; lines without a visible character are kept. Shared lines always go,
     whatever share of a document they are; with `by_text` they are those that `min_sites`
     distinct texts hold too, so that exact copies of a text do not make its lines shared.
+    `groups` is a staged frame (text_key, group_key), a text_key once: texts of one group
+    count as one text, so that near copies do not share away what only they hold.
 
     Defined cases: a null text stays null and has 0 lines; the null site is one site;
     repeated rows are rows like any others and do not add sites; an empty table gives an
     empty result.
     """
-    shared = stage(shared_lines(docs, site, min_sites, by_text), "shared")
+    shared = stage(shared_lines(docs, site, min_sites, by_text, groups), "shared")
     bad = (
         _hashed(docs, site).join(small(shared), ["h1", "h2"], "left_semi")
         .groupBy("text_key").agg(F.collect_set("at").alias("bad"))

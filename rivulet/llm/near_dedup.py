@@ -225,8 +225,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 
     `docs` needs `doc_id` and `text`; other columns are not looked at. Words are lower-cased
     in A-Z; a set holds the distinct runs of `shingle` words, of shorter texts the whole.
-    Returns per row doc_id, text_key (md5 of the text), n_shingles, component_id and
-    `chosen`: of each group the row with the least doc_id (then the least digest) is chosen.
+    Returns per row doc_id, text_key (md5 of the text), n_shingles, component_id, group_key
+    (the chosen row's text_key, so a name of the group also where ids are null) and `chosen`: of each group the row with the least doc_id (then the least digest) is chosen.
 
     Defined cases: texts that are null or without words are linked with nothing and stay
     alone; rows without doc_id take part, and come after all others when a group's row is
@@ -297,6 +297,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
             "text_key",
             "n_shingles",
             F.when(alone, F.col("doc_id")).otherwise(F.col("top.doc_id")).alias("component_id"),
+            F.when(alone, F.col("text_key")).otherwise(F.col("top.text_key")).alias("group_key"),
             (
                 alone
                 | (
@@ -308,6 +309,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     )
 
 
+def text_groups(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """(text_key, group_key) of the distinct texts that are not the chosen one of their group."""
+    found = near_duplicates(docs, shingle, percent).select("text_key", "group_key")
+    return stage(found.where("text_key <> group_key").distinct(), "groups")
+
+
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """`docs` with one row of each group of near-duplicates, the one that is chosen.
 

@@ -80,3 +80,29 @@ def test_pipeline_strips_pages_that_are_mostly_menu(spark):
     text = {r.doc_id: r.text for r in P.line_dedup(spark, docs, "").collect()}
     assert [text[k] for k in range(12)] == [prose(k, 20) for k in range(12)]
     assert text[50] == text[61] == prose(600, 30) + "\n" + prose(601, 30)
+
+
+def test_near_copies_leave_one_whole_article(spark):
+    """Ten near copies on ten sites count as one text; a footer of unlike pages still goes."""
+    import corpus_pipeline as P
+    from rivulet.llm.near_dedup import keep_one, text_groups
+
+    body = [prose(500 + k, 12) for k in range(40)]
+    rows = []
+    for k in range(10):
+        text = "\n".join([*body[:k], prose(700 + k, 12), *body[k + 1 :]])
+        rows.append((k, text, "en", f"s{k}", len(text)))
+        rows.append((100 + k, prose(800 + k, 60) + "\nthe footer of every page", "en", f"s{k}", 1))
+    docs = awkward(spark, rows).select("doc_id", "text", "lang", "source", "n_chars")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    # by texts alone the copies lose what they share
+    plain = L.drop_shared_lines(docs, "source", 9, by_text=True).where("doc_id < 100")
+    assert all(r.n_removed >= 10 for r in plain.collect())
+    groups = text_groups(docs)
+    assert groups.count() == 9 and groups.select("group_key").distinct().count() == 1
+    found = {r.doc_id: r for r in L.drop_shared_lines(docs, "source", 9, True, groups).collect()}
+    assert all(found[k].text == texts[k] and found[k].n_removed == 0 for k in range(10))
+    assert all(found[100 + k].text == texts[100 + k].split("\n")[0] for k in range(10))
+    done = P.line_dedup(spark, docs, "")
+    kept = {r.doc_id: r.text for r in keep_one(done).collect()}
+    assert len(kept) == 11 and sum(kept[d] == texts[d] for d in kept if d < 100) == 1
