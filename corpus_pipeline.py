@@ -14,7 +14,7 @@ from rivulet.llm.common import documents
 from rivulet.llm.decontaminate import drop_contaminated
 from rivulet.llm.line_dedup import drop_shared_lines
 from rivulet.llm.mixing import mix
-from rivulet.llm.near_dedup import keep_one
+from rivulet.llm.near_dedup import keep_one, text_groups
 from rivulet.llm.quality import score_documents
 from rivulet.util import stage
 
@@ -26,8 +26,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that ten sources and ten distinct texts or more share."""
-    stripped = drop_shared_lines(docs, "source", 10, by_text=True)
+    """Documents without the lines that ten sources and ten distinct texts or more share;
+    near copies, as the next stage finds them, count as one text and stay whole for it."""
+    groups = text_groups(docs, shingle=5, percent=80)
+    stripped = drop_shared_lines(docs, "source", 10, by_text=True, groups=groups)
     if "n_chars" in docs.columns:
         size = F.when(F.col("n_removed") > 0, F.length("text").cast("long"))
         stripped = stripped.withColumn("n_chars", F.coalesce(size, F.col("n_chars")))
