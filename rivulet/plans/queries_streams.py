@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rivulet import functions as R
 from rivulet.operators.apply_rows import Modes, apply_changes
 from rivulet.operators.envelope import encode
+from rivulet.operators.progress import consumer_progress, progress_tokens
 from rivulet.plans import sql_parts as S
 from rivulet.plans.inputs import (
     ACCOUNT,
@@ -21,12 +22,13 @@ from rivulet.plans.queries_changes import _collections, _fields
 from rivulet.plans.registry import query
 from rivulet.sinks.messages import write_files
 from rivulet.sinks.tables import BucketedTable
+from rivulet.sources.log import MessageLog, read_log
 from rivulet.sources.messages import read_files
 from rivulet.streaming import apply_documents_stream, apply_rows_stream, drain, gate_stream
 from rivulet.streaming.apply import progress_store
 from rivulet.streaming.gate import position_store
 from rivulet.streaming.rejects import RejectStore
-from rivulet.util import scratch_dir
+from rivulet.util import scratch_dir, stage
 
 _ACCOUNT_DDL = ", ".join(f"{name} {kind}" for name, kind in ACCOUNT.items())
 _REPLACE = Modes(imode="replace", umode="replace", match="key")
@@ -134,6 +136,72 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return progress_store(spark, f"{home}/progress").before()
 
 
+# Of the log's partitions 0 to 3, the last one appears with the later half.
+_LATER = f"""with {S.LOG}, m as (select max(seq) / 2 as middle from log)
+select 'shop' as topic, (user_id % 4)::int as "partition", seq as "offset" from log, m
+where user_id % 4 = 3 or seq > middle"""
+
+
+def _late_partition(messages: DataFrame, late: bool) -> DataFrame:
+    """The earlier or later half of the log; the last partition is all in the later one."""
+    middle = messages.agg(F.max("offset") / 2).scalar()
+    is_late = (F.col("offset") > middle) | (F.col("partition") == 3)
+    return messages.withColumn("topic", F.lit("shop")).where(is_late if late else ~is_late)
+
+
+@query(_LATER)
+def log_from_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log read from stored tokens; a partition that has none is read from 0."""
+    log = MessageLog(spark, f"{scratch_dir(spark, 'log')}/log")
+    messages = account_messages(spark, sf_dir)
+    log.append(_late_partition(messages, False), "early")
+    tokens = stage(progress_tokens(consumer_progress(read_log(spark, log.path, "shop"))))
+    log.append(_late_partition(messages, True), "late")
+    return read_log(spark, log.path, "shop", tokens=tokens).select("topic", "partition", "offset")
+
+
+@query(_LATER)
+def stream_from_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that starts at the latest message, is stopped, and goes on when more came."""
+    home = scratch_dir(spark, "stream-latest")
+    log = MessageLog(spark, f"{home}/log")
+    messages = account_messages(spark, sf_dir)
+    for late in (False, True):
+        log.append(_late_partition(messages, late), f"late-{late}")
+        stream = read_log(
+            spark, log.path, "shop", earliest=False, streaming=True, anchor=f"{home}/anchor"
+        )
+        found = stream.select("topic", "partition", "offset")
+        drain(
+            found.writeStream.format("parquet")
+            .option("path", f"{home}/out").option("checkpointLocation", f"{home}/checkpoint")
+            .trigger(availableNow=True).start()
+        )
+    return spark.read.schema(found.schema).parquet(f"{home}/out")
+
+
+@query(S.REPLACED)
+def stream_apply_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The replace mode as a running stream over a log, in batches of bounded messages."""
+    home = scratch_dir(spark, "stream-log")
+    log = MessageLog(spark, f"{home}/log")
+    messages = account_messages(spark, sf_dir).withColumn("topic", F.lit("shop"))
+    log.append(messages, "all")
+    size = messages.agg(F.max("offset") - F.min("offset") + 1).first()[0] or 1
+    stream = read_log(
+        spark, log.path, "shop", streaming=True, per_trigger=2 * size, anchor=f"{home}/anchor"
+    )
+    target = _account_target(spark, home)
+    running = apply_rows_stream(
+        stream, target, ACCOUNT, f"{home}/checkpoint", _REPLACE, trigger={"processingTime": "0 seconds"}
+    )
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return target.read()
+
+
 @query(S.DOC_FIELDS)
 def stream_apply_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     home = scratch_dir(spark, "stream-docs")
