@@ -5,6 +5,12 @@ vectors of term counts times inverse document frequencies. Frequencies of the te
 terms are counted over all files; a term of no template weighs like one that no file has. A
 file's own license is that of the most similar template, if the cosine reaches a threshold.
 
+Cosines alone take one license for its neighbour: sentences of two licenses may differ in one
+word. So a template is allowed for a segment only if the segment holds the template's numbers
+and key terms, and no key terms of other licenses; near sentences that allow no template, or
+more than one license, give `unknown`. An SPDX tag is taken as it is written. A license file of
+an unknown license passes `unknown` on, so that files under it do not take a further one's.
+
 By Cauchy's inequality a segment reaches the threshold only if it holds one of a template's
 heaviest terms, those without which the rest of the template is too light. Segments without
 any such term are passed over; no others.
@@ -40,27 +46,29 @@ TEMPLATES = [
         " file except in compliance with the License. You may obtain a copy of the License at"
         " http://www.apache.org/licenses/LICENSE-2.0",
     ),
-    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
     (
-        "BSD-3-Clause",
+        "BSD-2-Clause",
         "Redistribution and use in source and binary forms, with or without modification, are"
         " permitted provided that the following conditions are met",
     ),
-    ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
     (
-        "CC-BY-NC-4.0",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0"
-        " International License.",
+        "BSD-3-Clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used"
+        " to endorse or promote products derived from this software without specific prior"
+        " written permission.",
     ),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms"
+     " of the Eclipse Public License 2.0"),
     (
-        "GPL-3.0",
-        "This program is free software: you can redistribute it and/or modify it under the"
-        " terms of the GNU General Public License as published by the Free Software"
-        " Foundation, either version 3 of the License, or (at your option) any later version.",
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with"
+        " or without fee is hereby granted, provided that the above copyright notice and this"
+        " permission notice appear in all copies.",
     ),
-    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-only"),
+    ("ISC", "Released under the ISC License."),
     ("MIT", "Released under the MIT License."),
     (
         "MIT",
@@ -68,14 +76,64 @@ TEMPLATES = [
         " software and associated documentation files (the Software), to deal in the Software"
         " without restriction",
     ),
-    ("MIT", "SPDX-License-Identifier: MIT"),
+    ("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0."),
     (
         "MPL-2.0",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."
         " If a copy of the MPL was not distributed with this file, You can obtain one at"
         " https://mozilla.org/MPL/2.0/.",
     ),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Unlicense", "Released under the Unlicense."),
+    ("CC0-1.0", "Licensed under CC0 1.0."),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related"
+     " or neighboring rights to this work under CC0 1.0 Universal."),
+]
+# Licenses whose sentences differ in a name and a version only.
+_GNU = [
+    ("GPL-2.0", "GNU General Public License", "2"),
+    ("GPL-3.0", "GNU General Public License", "3"),
+    ("LGPL-2.0", "GNU Library General Public License", "2"),
+    ("LGPL-2.1", "GNU Lesser General Public License", "2.1"),
+    ("LGPL-3.0", "GNU Lesser General Public License", "3"),
+    ("AGPL-3.0", "GNU Affero General Public License", "3"),
 ]
+_COMMONS = [
+    ("BY", "Attribution"),
+    ("BY-SA", "Attribution-ShareAlike"),
+    ("BY-ND", "Attribution-NoDerivatives"),
+    ("BY-NC", "Attribution-NonCommercial"),
+    ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+    ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+]
+for _id, _name, _version in _GNU:
+    TEMPLATES += [
+        (_id, f"This work is licensed under the {_name}, version {_version}."),
+        (
+            _id,
+            "This program is free software: you can redistribute it and/or modify it under the"
+            f" terms of the {_name} as published by the Free Software"
+            f" Foundation, either version {_version} of the License, or (at your option) any later version.",
+        ),
+    ]
+for _short, _name in _COMMONS:
+    TEMPLATES += [
+        (f"CC-{_short}-4.0", f"Licensed under CC {_short} 4.0."),
+        (
+            f"CC-{_short}-4.0",
+            f"This work is licensed under a Creative Commons {_name} 4.0 International License.",
+        ),
+    ]
+# Terms that tell licenses apart; sentences that differ in them differ in law.
+KEYS = frozenset(
+    "apache bsd boost eclipse isc mit mozilla mpl unlicense unencumbered cc cc0 commons gnu affero"
+    " lesser library lgpl agpl gpl nc nd sa noncommercial noderivatives sharealike".split()
+)
+# Licenses that are the other one and a clause more.
+EXTENDS = {"BSD-3-Clause": "BSD-2-Clause"}
+UNKNOWN = "unknown"
+MARGIN = 0.02
+_SPDX = re.compile(r"SPDX-License-Identifier:[ \t]*\(?([A-Za-z0-9.+-]+(?:[ \t]+(?:AND|OR|WITH)[ \t]+[A-Za-z0-9.+-]+)*)")
 
 
 def terms(text: str) -> list[str]:
@@ -94,7 +152,11 @@ class Templates:
             t: math.log((1 + n_files) / (1 + frequencies.get(t, 0))) + 1 for t in vocabulary
         }
         self.vectors, needed = [], set()
+        # By template: the terms a segment must hold; by license: the keys it may hold.
+        self.must = [frozenset(t for t in c if t in KEYS or t.isdigit()) for _, c in counts]
+        self.may: dict[str, set[str]] = {}
         for name, count in counts:
+            self.may.setdefault(name, set()).update(KEYS.intersection(count), terms(name))
             vector = {t: n * self.idf[t] for t, n in count.items()}
             norm = math.sqrt(sum(x * x for x in vector.values()))
             self.vectors.append((name, {t: x / norm for t, x in vector.items()}))
@@ -104,35 +166,57 @@ class Templates:
                     break
                 needed.add(t)
                 rest -= (x / norm) ** 2
+        self.vectors = [(n, v, must) for (n, v), must in zip(self.vectors, self.must, strict=True)]
         self.needed = frozenset(needed)
 
     def may_match(self, segment: str) -> bool:
         return not self.needed.isdisjoint(terms(segment))
 
     def best(self, segment: str) -> tuple[float, str]:
-        """Greatest cosine and its license; of equal ones the first by name."""
+        """Greatest cosine and its license, of templates that the segment's keys allow;
+        `unknown` where templates reach the threshold, but none that is allowed or not one
+        license only within the margin. Of equal cosines the first by name."""
         count = Counter(terms(segment))
         vector = {t: n * self.idf.get(t, self.unseen) for t, n in count.items()}
         norm = math.sqrt(math.fsum(x * x for x in vector.values()))
         if not norm:
             return 0.0, ""
-        scores = [
-            (-math.fsum(x * vector[t] for t, x in template.items() if t in vector) / norm, name)
-            for name, template in self.vectors
-        ]
-        score, name = min(scores)
-        return -score, name
+        keys = KEYS.intersection(count)
+        held, near = [], []
+        for name, template, must in self.vectors:
+            score = math.fsum(x * vector[t] for t, x in template.items() if t in vector) / norm
+            if score >= self.threshold:
+                near.append(score)
+                if must <= count.keys() and keys <= self.may[name]:
+                    held.append((-score, name))
+        if not held:
+            return (max(near), UNKNOWN) if near else (0.0, "")
+        score, name = min(held)
+        rivals = [n for x, n in held if n != name and x <= score + MARGIN]
+        return -score, UNKNOWN if rivals else name
 
     def scan(self, text: str, whole: bool) -> tuple[str | None, float | None]:
-        """License and cosine of a file's best segment that reaches the threshold."""
+        """License and cosine of a file: its SPDX expression, as it is written first, else the
+        best segment that reaches the threshold. A license counts before `unknown`, and one
+        that extends another before that."""
+        tag = _SPDX.search(text)
+        if tag:
+            return " ".join(tag.group(1).split()), 1.0
         if not self.may_match(text):
             return None, None
         segments = {x for x in text.split("\n") if self.may_match(x)}
         segments |= {x for x in re.split(r"\n\s*\n", text) if self.may_match(x)}
         if whole:
             segments.add(text)
-        score, name = min(((-s, n) for s, n in map(self.best, segments)), default=(0.0, ""))
-        return (name, -score) if -score >= self.threshold else (None, None)
+        found = {(-s, n) for s, n in map(self.best, segments) if n}
+        if not found:
+            return None, None
+        named = {n for _, n in found}
+        extended = {EXTENDS[n] for n in named if n in EXTENDS}
+        score, name = min(
+            (n == UNKNOWN, s, n) for s, n in found if n not in extended
+        )[1:]
+        return name, -score
 
 
 def frequencies(files: DataFrame, templates) -> dict[str, int]:
@@ -198,7 +282,7 @@ def scan_licenses(files: DataFrame, templates=TEMPLATES, threshold: float = THRE
     score, license and origin (`own`, the directory inherited from, or null).
 
     Directories get the license of the best license file right in them (LICENSE, LICENCE
-    or COPYING, perhaps with a suffix); of equal scores the first by name. Defined cases: a
+    or COPYING, perhaps with a suffix), `unknown` after all others; of equal scores the first by name. Defined cases: a
     null text has no license of its own; a null repo or path inherits nothing and gives
     nothing; repeated rows get equal results; an empty table gives an empty result.
     """
@@ -208,7 +292,7 @@ def scan_licenses(files: DataFrame, templates=TEMPLATES, threshold: float = THRE
         scan_files(files, templates, threshold).withColumn("dir", F.when(F.col("path").isNotNull(), folder)),
         "scanned",
     )
-    rank = F.struct(-F.col("score"), "own")
+    rank = F.struct(F.col("own") == UNKNOWN, -F.col("score"), "own")
     given = (
         scanned.where("whole and own is not null and repo is not null and dir is not null")
         .groupBy("repo", F.col("dir").alias("above"))
