@@ -42,23 +42,27 @@ SHARD_WORDS, SHARDS = 50_000, 4
 _INDEX = np.uint64((1 << 26) - 1)
 
 
-def anchors(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """For the window at every word: hash and place of its anchor (the first of equals)."""
+def anchors(hashes: np.ndarray, size: int, block: int = 1 << 24) -> tuple[np.ndarray, np.ndarray]:
+    """For the window at every word: hash and place of its anchor (the first of equals).
+
+    Windows are taken `block` at a time, so that places within a block fit the low bits."""
     runs = grams(hashes, ANCHOR)
     span = size - ANCHOR + 1
-    if len(runs) < span:
+    count = len(runs) - span + 1
+    if count <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    if len(runs) > int(_INDEX):
-        raise ValueError("a batch holds more than 2**26 words")
-    least = (runs & ~_INDEX) | np.arange(len(runs), dtype=np.uint64)
-    width = 1
-    while 2 * width <= span:
-        least = np.minimum(least[:-width], least[width:])
-        width *= 2
-    if width < span:
-        least = np.minimum(least[: len(least) - (span - width)], least[span - width :])
-    place = (least & _INDEX).astype(np.int64)
-    return runs[place], place
+    places = np.empty(count, np.int64)
+    for low in range(0, count, block):
+        part = runs[low : low + min(block, count - low) + span - 1]
+        least = (part & ~_INDEX) | np.arange(len(part), dtype=np.uint64)
+        width = 1
+        while 2 * width <= span:
+            least = np.minimum(least[:-width], least[width:])
+            width *= 2
+        if width < span:
+            least = np.minimum(least[: len(least) - (span - width)], least[span - width :])
+        places[low : low + len(least)] = low + (least & _INDEX).astype(np.int64)
+    return runs[places], places
 
 
 def _runs(first: np.ndarray, places: np.ndarray, size: int):

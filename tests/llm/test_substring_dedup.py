@@ -1,9 +1,11 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from rivulet.llm import substring_dedup as S
+from rivulet.llm.substring_dedup import anchors
 from tests.llm.cases import awkward, awkward_rows, prose, words
 
 
@@ -55,3 +57,12 @@ def test_automaton_gives_matching_statistics():
     known = {tuple(t[a:b]) for t in texts for a in range(len(t)) for b in range(a + 1, len(t) + 1)}
     want = [max((n for n in range(1, i + 2) if tuple(stream[i + 1 - n : i + 1]) in known), default=0) for i in range(len(stream))]
     assert automaton.matches(stream) == want
+
+
+def test_blocks_of_windows_give_the_same_anchors():
+    values = np.random.default_rng(7).integers(0, 9, 5000).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    whole = anchors(values, 35)
+    assert len(whole[0]) == 5000 - 35 + 1
+    for block in (1, 2, 33, 1000, 4966, 4967):
+        assert all(np.array_equal(a, b) for a, b in zip(whole, anchors(values, 35, block), strict=True))
+    assert len(anchors(values[:34], 35)[0]) == 0
