@@ -9,14 +9,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rivulet.util import stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 _SPACE = " \t\n\x0b\x0c\r"
-# Rows that a broadcast may have; callers send a few numbers or short keys a row, so that
-# the built relation stays under about 100 MB.
-BROADCAST_ROWS = 1_000_000
+# Rows and bytes that a broadcast may have, as they are counted before it.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 100 << 20
 # Text that a Python task works on at a time; one longer text is worked on as a whole.
 PART_BYTES = 2 << 20
 
@@ -53,12 +53,27 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The frame with a broadcast hint if it has at most `rows` rows, else as it is.
+def width(df: DataFrame) -> Column:
+    """Bytes of a row: a word a column, and the contents of texts and nested values."""
+    size = F.lit(8 * (1 + len(df.columns))).cast("long")
+    for field in df.schema:
+        kind, value = field.dataType, F.col(f"`{field.name}`")
+        if isinstance(kind, T.ArrayType | T.MapType | T.StructType):
+            value = F.to_json(F.struct(value))
+        elif not isinstance(kind, T.StringType | T.BinaryType):
+            continue
+        size = size + F.coalesce(F.octet_length(value), F.lit(0))
+    return size
 
-    Give it a staged frame, whose count is cheap.
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """The frame with a broadcast hint if it has at most `rows` rows of together at most `size`
+    bytes, else as it is.
+
+    Give it a staged frame, whose rows are cheap to count and measure.
     """
-    return F.broadcast(df) if df.count() <= rows else df
+    n, held = df.agg(F.count(F.lit(1)), F.sum(width(df))).first()
+    return F.broadcast(df) if n <= rows and (held or 0) <= size else df
 
 
 def parts(batch: pa.RecordBatch, size: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
