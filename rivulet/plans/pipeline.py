@@ -130,7 +130,7 @@ class Pipeline:
 
         All targets are fed from one decoding. With `forced` everything goes to the one
         target. `options` are those of `apply_tables_stream`: modes, seq, progress, repair,
-        trigger and rejects.
+        trigger, rejects and group.
         """
         if forced and len(targets) != 1:
             raise ValueError("a forced target must be the only one")

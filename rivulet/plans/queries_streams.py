@@ -20,6 +20,7 @@ from rivulet.plans.inputs import (
 from rivulet.plans.pipeline import build_pipeline
 from rivulet.plans.queries_changes import _collections, _fields
 from rivulet.plans.registry import query
+from rivulet.sinks.groups import TableGroup
 from rivulet.sinks.messages import write_files
 from rivulet.sinks.tables import BucketedTable
 from rivulet.sources.log import MessageLog, read_log
@@ -360,6 +361,25 @@ def stream_two_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows[0].unionByName(rows[1])
 
 
+@query(_TWO_TABLES)
+def stream_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables of one topic that change together, by one commit a batch."""
+    home = scratch_dir(spark, "stream-group")
+    _write_keyed(account_messages(spark, sf_dir), f"{home}/log")
+    job = build_pipeline("messages", "relational", topics="shop")
+    tables = {name: _account_target(spark, f"{home}/{name}") for name in ("db1.t2", "db0.t1")}
+    group = TableGroup(spark, f"{home}/group", tables, progress_store(spark, f"{home}/progress"))
+    stream = read_files(spark, f"{home}/log", "shop", streaming=True, files_per_trigger=2)
+    drain(
+        job.start(
+            stream, {n: (t, ACCOUNT) for n, t in tables.items()}, f"{home}/checkpoint",
+            modes=_REPLACE, trigger={"availableNow": True}, group=group,
+        )
+    )
+    rows = [t.read().select(F.lit(n).alias("target"), *ACCOUNT) for n, t in tables.items()]
+    return rows[0].unionByName(rows[1])
+
+
 @query(
     """select o_orderkey as id, case when o_orderkey % 7 = 0 then 'changed' else o_orderstatus end as v,
   case when o_orderkey % 7 = 0 then null else o_custkey end as bucket from orders

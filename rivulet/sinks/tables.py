@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivulet.sinks.commits import CommitLog, Run, State, bucket_column, bucket_of, exists, remove, size
+from rivulet.sinks.commits import CommitLog, Record, Run, State, bucket_column, bucket_of, exists, remove, size
 from rivulet.util import null_safe, stage
 
 _DEFINITION = "buckets INT, keys ARRAY<STRING>, columns STRING, levels ARRAY<STRING>"
@@ -159,9 +159,24 @@ class BucketedTable:
     ) -> bool:
         """Replace the rows of `key_rows` (a frame of key columns) by `change(these rows)`;
         False when the batch is already in. `change` may return rows of these keys only."""
+        record = self.prepare(batch, key_rows, change)
+        if record is None:
+            return False
+        self.commit(record)
+        return True
+
+    def commit(self, record: Record) -> None:
+        self.log.write(record)
+        self.log.expire()
+
+    def prepare(
+        self, batch: int, key_rows: DataFrame, change: Callable[[DataFrame], DataFrame]
+    ) -> Record | None:
+        """Write a batch's files and give the record that makes them current; None when the
+        batch is already in. Without its record a batch leaves the table as it was."""
         before = self.log.state()
         if before.batch is not None and batch <= before.batch:
-            return False
+            return None
         self._define()
         level, version, gone = self.levels
         keys = stage(key_rows.select(*self.keys).distinct(), "batch-keys")
@@ -180,9 +195,7 @@ class BucketedTable:
             self._grow(before, state, rows.count())
             self._write_run(state, written)
         self._clean(before, state)
-        self.log.commit(before, state)
-        self.log.expire()
-        return True
+        return self.log.record(before, state)
 
     def _grow(self, before: State, state: State, more: int) -> None:
         """Rewrite the buckets that split, and those with many waiting changes."""

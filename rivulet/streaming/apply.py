@@ -13,6 +13,7 @@ from rivulet.operators.apply_rows import Modes, apply_changes, changes_from
 from rivulet.operators.envelope import decode_documents, decode_rows, table_key
 from rivulet.operators.progress import consumer_progress, progress_tokens
 from rivulet.operators.routing import route_documents, route_rows
+from rivulet.sinks.groups import TableGroup
 from rivulet.sinks.tables import BucketedTable
 from rivulet.streaming.rejects import RejectStore, malformed, misfits
 from rivulet.streaming.store import BatchStore
@@ -48,6 +49,19 @@ def _start(
     )
 
 
+def _replayed(
+    keys: list[str], routed: DataFrame, columns: dict[str, str], order: Column, modes: Modes
+) -> tuple[DataFrame, DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The changes of a table, kept, and what a target takes: touched keys and the change."""
+    # Kept, so that messages are parsed once; lost blocks are parsed again.
+    changes = changes_from(routed, columns, order, keys).persist()
+    touched = changes.select(*[F.col("row")[k].alias(k) for k in keys])
+    if modes.match == "row" or modes.umode == "native":
+        moved = changes.where(F.col("old").isNotNull())
+        touched = touched.unionByName(moved.select(*[F.col("old")[k].alias(k) for k in keys]))
+    return changes, touched, lambda base: apply_changes(base, changes, keys, modes)
+
+
 def _replay_on(
     target: BucketedTable,
     routed: DataFrame,
@@ -56,22 +70,32 @@ def _replay_on(
     modes: Modes,
     batch_id: int,
 ) -> None:
-    # Kept, so that messages are parsed once; lost blocks are parsed again.
-    changes = changes_from(routed, columns, order, target.keys).persist()
-    touched = changes.select(*[F.col("row")[k].alias(k) for k in target.keys])
-    if modes.match == "row" or modes.umode == "native":
-        moved = changes.where(F.col("old").isNotNull())
-        touched = touched.unionByName(
-            moved.select(*[F.col("old")[k].alias(k) for k in target.keys])
-        )
+    changes, touched, change = _replayed(target.keys, routed, columns, order, modes)
     try:
-        target.apply(
-            batch_id, touched, lambda base: apply_changes(base, changes, target.keys, modes)
-        )
+        target.apply(batch_id, touched, change)
     finally:
         changes.unpersist()
 
 
+def _replay_together(
+    group: TableGroup,
+    chosen: dict[str, tuple[BucketedTable, DataFrame, dict[str, str]]],
+    order: Column,
+    modes: Modes,
+    batch_id: int,
+    save: Callable[[], None],
+) -> None:
+    made = {
+        name: _replayed(target.keys, routed, columns, order, modes)
+        for name, (target, routed, columns) in chosen.items()
+    }
+    try:
+        group.apply(batch_id, {name: parts[1:] for name, parts in made.items()}, save)
+    finally:
+        for changes, *_ in made.values():
+            changes.unpersist()
+
+
 def apply_rows_stream(
     messages: DataFrame,
     target: BucketedTable,
@@ -105,6 +129,7 @@ def apply_tables_stream(
     repair: Callable[[DataFrame], DataFrame] | None = None,
     trigger: dict | None = None,
     rejects: RejectStore | None = None,
+    group: TableGroup | None = None,
 ) -> StreamingQuery:
     """Replay relational messages onto the tables they name, batch by batch.
 
@@ -116,8 +141,11 @@ def apply_tables_stream(
     twice. `rejects` keeps the messages that are malformed or hold values that do not fit,
     before the targets commit. `trigger` holds options of Spark's trigger, such as
     {"processingTime": "5 seconds"} to run until stopped; by default the stream ends when
-    it is drained.
+    it is drained. With a `group` of the same targets a batch shows in all of them and in the
+    group's progress, or in none; without one, targets commit one after the other.
     """
+    if group is not None and group.tables != {n: t for n, (t, _) in targets.items()}:
+        raise ValueError("the group must hold the targets")
     order = F.col("m_offset") if seq is None else seq
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
@@ -134,8 +162,15 @@ def apply_tables_stream(
                 for name, (target, columns) in targets.items():
                     found = found.unionByName(misfits(chosen[name], columns, target.keys, name))
                 rejects.save(batch_id, batch, found)
-            for name, (target, columns) in targets.items():
-                _replay_on(target, chosen[name], columns, order, modes, batch_id)
+            if group is not None:
+                members = {n: (t, chosen[n], columns) for n, (t, columns) in targets.items()}
+                _replay_together(
+                    group, members, order, modes, batch_id,
+                    lambda: _save_progress(group.progress, batch, batch_id),
+                )
+            else:
+                for name, (target, columns) in targets.items():
+                    _replay_on(target, chosen[name], columns, order, modes, batch_id)
         finally:
             if shared:
                 routed.unpersist()
