@@ -15,6 +15,8 @@ def components(edges: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
     its least neighbour and contracts the edges, which takes a number of rounds that grows
     with the logarithm of the size. Minima are combined before each shuffle, so a node with
     any number of edges costs no more than its edges. Tables are written between rounds.
+    Roots are put together from the last round back, so that a node is joined once, not once
+    a round.
     """
     current = stage(
         edges.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y"))
@@ -22,7 +24,7 @@ def components(edges: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
         .distinct(),
         "edges",
     )
-    found = None
+    steps = []
     while not current.isEmpty():
         both = current.unionByName(current.select(F.col("y").alias("x"), F.col("x").alias("y")))
         step = stage(
@@ -31,22 +33,18 @@ def components(edges: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
             .select("node", F.least("node", "to").alias("to")),
             "step",
         )
-        if found is None:
-            found = step.withColumnRenamed("to", "root")
-        else:
-            moved = step.select(F.col("node").alias("root"), "to")
-            found = stage(
-                found.join(moved, "root", "left").select(
-                    "node", F.coalesce("to", "root").alias("root")
-                ),
-                "roots",
-            )
+        steps.append(step)
         ends = (
             current.join(step.select(F.col("node").alias("x"), F.col("to").alias("tx")), "x")
             .join(step.select(F.col("node").alias("y"), F.col("to").alias("ty")), "y")
             .select(F.least("tx", "ty").alias("x"), F.greatest("tx", "ty").alias("y"))
         )
         current = stage(ends.where("x <> y").distinct(), "edges")
-    if found is None:
+    if not steps:
         return current.select(F.col("x").alias("node"), F.col("y").alias("root"))
+    found = steps.pop().withColumnRenamed("to", "root")
+    while steps:
+        later = found.withColumnRenamed("node", "to")
+        roots = steps.pop().join(later, "to", "left")
+        found = stage(roots.select("node", F.coalesce("root", "to").alias("root")), "roots")
     return found

@@ -10,14 +10,20 @@ The changes of a small component are gathered in one array. Components of ordina
 a few keys. The log of larger ones is cut in two by seq, and the halves are replayed one after
 the other: within a half, moves tie fewer keys together, and what they do not tie is left to
 the plain replay again. The halves are cut on until their components are small.
+
+Nodes of the graph are 64-bit hashes of keys, which move in a fraction of the bytes of exact
+digests. Keys of one hash are replayed together, which they may be: the fold tells keys apart
+by their digests.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rivulet.operators.digests import exact_digest
 from rivulet.operators.graph import components
@@ -84,6 +90,29 @@ def _by_halves(
     return stage(replay(first, log.where(F.col("seq") > mid)), "moved-half")
 
 
+def _node(image: str, kind: StructType, keys: list[str], salt: int) -> Column:
+    return F.xxhash64(exact_digest(image, kind, keys), F.lit(salt))
+
+
+def _with_nodes(changes: DataFrame, keys: list[str]) -> tuple[DataFrame, int]:
+    """Changes with the nodes of their key and, for moves, of the old key; and the salt."""
+    kind = changes.schema["row"].dataType
+    is_update = F.col("op") == "update"
+    moved = F.lit(False)
+    for key in keys:
+        moved = moved | ~F.col("old")[key].eqNullSafe(F.col("row")[key])
+    moves = is_update & F.col("old").isNotNull() & moved
+    for salt in count():
+        noded = changes.select(
+            *changes.columns, _node("row", kind, keys, salt).alias("_n"),
+            F.when(moves, _node("old", kind, keys, salt)).alias("_from"),
+        )
+        noded = stage(noded, "noded-log")
+        # Two keys of one hash with a move between them would have no edge.
+        if noded.where("_from = _n").isEmpty():
+            return noded, salt
+
+
 def replay_moves(
     base: DataFrame | None,
     changes: DataFrame,
@@ -99,14 +128,12 @@ def replay_moves(
     fold are given to it in halves.
     """
     kind = changes.schema["row"].dataType
-    keyed = changes.withColumns({"_k": exact_digest("row", kind, keys)})
-    old = F.when(F.col("op") == "update", F.coalesce(exact_digest("old", kind, keys), F.col("_k")))
-    has_old = F.col("old").isNotNull() & (F.col("op") == "update")
-    keyed = keyed.withColumn("_o", F.when(has_old, old).when(F.col("op") == "update", F.col("_k")))
-    keyed = stage(keyed, "keyed-log")
-    edges = keyed.where("_o <> _k").select(F.col("_o").alias("x"), F.col("_k").alias("y"))
-    owner = stage(components(edges).select(F.col("node").alias("_k"), "root"), "moved-keys")
-    own = keyed.join(owner, "_k")
+    log, salt = _with_nodes(changes, keys)
+    edges = log.where("_from is not null").select(F.col("_from").alias("x"), F.col("_n").alias("y"))
+    owner = components(edges).select(F.col("node").alias("_n"), "root")
+    # Joined once and kept; rows of keys that no move ties have no root.
+    log = stage(log.drop("_from").join(owner, "_n", "left").drop("_n"), "rooted-log")
+    own = log.where("root is not null")
     sizes = own.groupBy("root").agg(
         F.count("*").alias("n"), F.count_if(F.col("op") == "insert").alias("live"),
         (F.min("seq") < F.max("seq")).alias("cuts"),
@@ -115,28 +142,31 @@ def replay_moves(
     if base is not None:
         image = F.struct(*kind.fieldNames()).cast(kind)
         marked = base.select(F.struct(*base.columns).alias("_b"), image.alias("row"))
-        marked = marked.withColumn("_k", exact_digest("row", kind, keys))
-        held = marked.join(owner, "_k").groupBy("root").agg(F.count("*").alias("held"))
+        marked = marked.withColumn("_n", _node("row", kind, keys, salt))
+        marked = stage(marked.join(owner, "_n", "left").drop("_n"), "rooted-base")
+        held = marked.where("root is not null").groupBy("root").agg(F.count("*").alias("held"))
         live = F.col("live") + F.coalesce("held", F.lit(0))
         sizes = sizes.join(held, "root", "left").withColumn("live", live)
     large = F.col("cuts") & ((F.col("n") > cap) | (F.col("n") * F.col("live") > FOLD_WORK))
     large = stage(sizes.where(large).select("root"), "large-moves")
-    tied, halves = owner, None
+    tied = None if marked is None else marked.where("root is not null")
+    halves = None
     if not large.isEmpty():
-        many = stage(owner.join(large, "root", "left_semi"), "large-keys")
-        tied = stage(owner.join(large, "root", "left_anti"), "small-keys")
-        own = keyed.join(tied, "_k")
-        log = stage(keyed.join(many, "_k", "left_semi").select(*changes.columns), "large-log")
-        start = None if marked is None else stage(
-            marked.join(many, "_k", "left_semi").select("_b.*"), "large-base"
-        )
-        halves = _by_halves(start, log, replay)
-    logs = own.groupBy("root").agg(
+        many = stage(own.join(large, "root", "left_semi").select(*changes.columns), "large-log")
+        own = own.join(large, "root", "left_anti")
+        start = None
+        if marked is not None:
+            start = stage(tied.join(large, "root", "left_semi").select("_b.*"), "large-base")
+            tied = tied.join(large, "root", "left_anti")
+        halves = _by_halves(start, many, replay)
+    # Digests are made behind the shuffle, which moves rows without them.
+    key = exact_digest("row", kind, keys)
+    is_update = F.col("op") == "update"
+    old_key = F.when(is_update, F.coalesce(exact_digest("old", kind, keys), key))
+    logs = own.repartition("root").groupBy("root").agg(
         F.sort_array(
             F.collect_list(
-                F.struct(
-                    "seq", "op", F.col("_k").alias("key"), F.col("_o").alias("old_key"), "row", "old"
-                )
+                F.struct("seq", "op", key.alias("key"), old_key.alias("old_key"), "row", "old")
             )
         ).alias("_log")
     )
@@ -145,15 +175,14 @@ def replay_moves(
     if base is None:
         start, rest = logs.withColumn("_rows", empty), None
     else:
-        held = marked.join(tied, "_k").groupBy("root").agg(
-            F.map_from_entries(F.collect_list(F.struct("_k", "row"))).cast(rows_type).alias("_rows")
+        held = tied.repartition("root").groupBy("root").agg(
+            F.map_from_entries(F.collect_list(F.struct(key, "row"))).cast(rows_type).alias("_rows")
         )
         start = logs.join(held, "root", "full").withColumn("_rows", F.coalesce("_rows", empty))
-        rest = marked.join(owner, "_k", "left_anti").select("_b.*")
+        rest = marked.where("root is null").select("_b.*")
     none = F.array().cast(logs.schema["_log"].dataType)
     end = F.aggregate(F.coalesce("_log", none), F.col("_rows"), _step(imode, match))
     done = start.select(F.explode(F.map_values(end)).alias("row")).select("row.*")
     if halves is not None:
         done = done.unionByName(halves.select(*done.columns))
-    others = keyed.join(owner, "_k", "left_anti").select(*changes.columns)
-    return done, rest, others
+    return done, rest, log.where("root is null").select(*changes.columns)
