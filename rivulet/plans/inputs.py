@@ -67,24 +67,26 @@ def account_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def account_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log as messages; every tenth view is broken text."""
+def account_messages(spark: SparkSession, sf_dir: str, keyed: bool = False) -> DataFrame:
+    """The log as messages; every tenth view is broken text. With `keyed` they carry `key`."""
     log = account_log(spark, sf_dir)
     fields = [c for c in log.columns if c != "seq"]
     broken = (F.col("type") == "replace") & (F.col("seq") % 10 == 0)
     value = F.when(broken, F.concat(F.lit("not json "), F.col("seq").cast("string")))
+    user = F.col("data")["user_id"]
     return log.select(
         "topic",
-        (F.col("data")["user_id"].cast("bigint") % 4).cast("int").alias("partition"),
+        (user.cast("bigint") % 4).cast("int").alias("partition"),
         F.col("seq").alias("offset"),
         F.coalesce(value, encode(log, fields)).alias("value"),
+        *([user.alias("key")] if keyed else []),
     )
 
 
-def document_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def document_messages(spark: SparkSession, sf_dir: str, keyed: bool = False) -> DataFrame:
     """One document change message per event: `_id` is the user, and the event type names
     the field that is set. Snapshot inserts carry a bare key, other changes a key document,
-    and cluster times travel as driver text."""
+    and cluster times travel as driver text. With `keyed` the messages carry `key`."""
     events = table(spark, sf_dir, "events")
     user = F.col("user_id").cast("string")
     kind = F.when(F.col("event_id") % 50 == 0, "bootstrap-insert").otherwise(change_type())
@@ -120,6 +122,7 @@ def document_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("user_id") % 4).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
         F.to_json(envelope).alias("value"),
+        *([user.alias("key")] if keyed else []),
     )
 
 

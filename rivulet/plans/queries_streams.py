@@ -35,10 +35,18 @@ _ACCOUNT_DDL = ", ".join(f"{name} {kind}" for name, kind in ACCOUNT.items())
 _REPLACE = Modes(imode="replace", umode="replace", match="key")
 
 
-def _write_keyed(messages: DataFrame, path: str, files: int = 4) -> None:
-    """Write a message log so that the changes of one key stay in one file, in order."""
+# Messages of a file, about: what one task sorts, whatever the size of the log.
+_FILE_MESSAGES = 500_000
+
+
+def _write_keyed(messages: DataFrame, path: str) -> int:
+    """Write a message log so that the changes of one `key` stay in one file, in order; gives
+    the files of a batch, half of them. There are four files, and more for a larger log."""
+    files = max(4, -(-messages.count() // _FILE_MESSAGES))
     keyed = messages.withColumn("topic", F.lit("shop"))
-    write_files(keyed.repartition(files, "partition").sortWithinPartitions("offset"), path)
+    spread = keyed.repartition(files, "key").sortWithinPartitions("partition", "offset")
+    write_files(spread.drop("key"), path)
+    return -(-files // 2)
 
 
 def _account_target(spark: SparkSession, home: str) -> BucketedTable:
@@ -46,9 +54,9 @@ def _account_target(spark: SparkSession, home: str) -> BucketedTable:
 
 
 def _run_apply(
-    spark: SparkSession, home: str, target: BucketedTable, modes: Modes = _REPLACE
+    spark: SparkSession, home: str, target: BucketedTable, files: int, modes: Modes = _REPLACE
 ) -> None:
-    stream = read_files(spark, f"{home}/log", "shop", streaming=True, files_per_trigger=2)
+    stream = read_files(spark, f"{home}/log", "shop", streaming=True, files_per_trigger=files)
     drain(
         apply_rows_stream(
             stream, target, ACCOUNT, f"{home}/checkpoint", modes,
@@ -61,9 +69,9 @@ def _run_apply(
 def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The replace mode as a stream of message files."""
     home = scratch_dir(spark, "stream-apply")
-    _write_keyed(account_messages(spark, sf_dir), f"{home}/log")
+    files = _write_keyed(account_messages(spark, sf_dir, keyed=True), f"{home}/log")
     target = _account_target(spark, home)
-    _run_apply(spark, home, target)
+    _run_apply(spark, home, target, files)
     return target.read()
 
 
@@ -71,12 +79,12 @@ def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs on one checkpoint; the second sees only the later half of the log."""
     home = scratch_dir(spark, "stream-resume")
-    messages = account_messages(spark, sf_dir)
+    messages = account_messages(spark, sf_dir, keyed=True)
     middle = messages.agg(F.max("offset") / 2).scalar()
     target = _account_target(spark, home)
     for part in (F.col("offset") <= middle, F.col("offset") > middle):
-        _write_keyed(messages.where(part), f"{home}/log")
-        _run_apply(spark, home, target)
+        files = _write_keyed(messages.where(part), f"{home}/log")
+        _run_apply(spark, home, target, files)
     return target.read()
 
 
@@ -102,9 +110,10 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = faulty.select(
         F.lit("shop").alias("topic"), (seq % 4).cast("int").alias("partition"), seq.alias("offset"),
         F.when(seq % 19 == 0, F.lit("not json")).otherwise(encode(faulty, fields)).alias("value"),
+        log["data"]["user_id"].alias("key"),
     )
-    _write_keyed(messages, f"{home}/log")
-    stream = read_files(spark, f"{home}/log", "shop", streaming=True, files_per_trigger=2)
+    files = _write_keyed(messages, f"{home}/log")
+    stream = read_files(spark, f"{home}/log", "shop", streaming=True, files_per_trigger=files)
     rejects = RejectStore(spark, f"{home}/rejects")
     target = _account_target(spark, home)
     drain(apply_rows_stream(stream, target, ACCOUNT, f"{home}/checkpoint", _REPLACE, rejects=rejects))
@@ -116,12 +125,12 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_split_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The replace mode into a table that begins with one bucket and splits on the way."""
     home = scratch_dir(spark, "stream-splits")
-    _write_keyed(account_messages(spark, sf_dir), f"{home}/log")
+    files = _write_keyed(account_messages(spark, sf_dir, keyed=True), f"{home}/log")
     users = table(spark, sf_dir, "events").agg(F.count_distinct("user_id")).first()[0]
     target = BucketedTable(
         spark, f"{home}/target", _ACCOUNT_DDL, ["user_id"], buckets=1, bucket_rows=1 + users // 24
     )
-    _run_apply(spark, home, target)
+    _run_apply(spark, home, target, files)
     return target.read()
 
 
@@ -132,8 +141,8 @@ from log group by 1"""
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Progress saved by a stream after each committed batch."""
     home = scratch_dir(spark, "stream-progress")
-    _write_keyed(account_messages(spark, sf_dir), f"{home}/log")
-    _run_apply(spark, home, _account_target(spark, home))
+    files = _write_keyed(account_messages(spark, sf_dir, keyed=True), f"{home}/log")
+    _run_apply(spark, home, _account_target(spark, home), files)
     return progress_store(spark, f"{home}/progress").before()
 
 
@@ -206,11 +215,11 @@ def stream_apply_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(S.DOC_FIELDS)
 def stream_apply_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     home = scratch_dir(spark, "stream-docs")
-    _write_keyed(document_messages(spark, sf_dir), f"{home}/log")
+    files = _write_keyed(document_messages(spark, sf_dir, keyed=True), f"{home}/log")
     target = BucketedTable(
         spark, f"{home}/target", "_id STRING, doc MAP<STRING,STRING>", ["_id"], buckets=8
     )
-    stream = read_files(spark, f"{home}/log", "shop", streaming=True, files_per_trigger=2)
+    stream = read_files(spark, f"{home}/log", "shop", streaming=True, files_per_trigger=files)
     drain(apply_documents_stream(stream, target, f"{home}/checkpoint"))
     return _fields(target.read())
 
@@ -346,12 +355,12 @@ from last where rn = 1 and type <> 'delete'"""
 def stream_two_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One topic that carries many tables, streamed to the targets of two of them."""
     home = scratch_dir(spark, "stream-two")
-    _write_keyed(account_messages(spark, sf_dir), f"{home}/log")
+    files = _write_keyed(account_messages(spark, sf_dir, keyed=True), f"{home}/log")
     job = build_pipeline("messages", "relational", topics="shop")
     targets = {
         name: (_account_target(spark, f"{home}/{name}"), ACCOUNT) for name in ("db1.t2", "db0.t1")
     }
-    stream = read_files(spark, f"{home}/log", "shop", streaming=True, files_per_trigger=2)
+    stream = read_files(spark, f"{home}/log", "shop", streaming=True, files_per_trigger=files)
     drain(
         job.start(
             stream, targets, f"{home}/checkpoint", modes=_REPLACE, trigger={"availableNow": True}
@@ -365,11 +374,11 @@ def stream_two_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two tables of one topic that change together, by one commit a batch."""
     home = scratch_dir(spark, "stream-group")
-    _write_keyed(account_messages(spark, sf_dir), f"{home}/log")
+    files = _write_keyed(account_messages(spark, sf_dir, keyed=True), f"{home}/log")
     job = build_pipeline("messages", "relational", topics="shop")
     tables = {name: _account_target(spark, f"{home}/{name}") for name in ("db1.t2", "db0.t1")}
     group = TableGroup(spark, f"{home}/group", tables, progress_store(spark, f"{home}/progress"))
-    stream = read_files(spark, f"{home}/log", "shop", streaming=True, files_per_trigger=2)
+    stream = read_files(spark, f"{home}/log", "shop", streaming=True, files_per_trigger=files)
     drain(
         job.start(
             stream, {n: (t, ACCOUNT) for n, t in tables.items()}, f"{home}/checkpoint",
