@@ -110,7 +110,7 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = faulty.select(
         F.lit("shop").alias("topic"), (seq % 4).cast("int").alias("partition"), seq.alias("offset"),
         F.when(seq % 19 == 0, F.lit("not json")).otherwise(encode(faulty, fields)).alias("value"),
-        log["data"]["user_id"].alias("key"),
+        F.col("data")["user_id"].alias("key"),
     )
     files = _write_keyed(messages, f"{home}/log")
     stream = read_files(spark, f"{home}/log", "shop", streaming=True, files_per_trigger=files)
