@@ -16,9 +16,11 @@ import uuid
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
-import pyarrow.dataset as ds
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +40,8 @@ FORMAT = "rivulet-log"
 _SEGMENT = "topic STRING, `partition` INT, file STRING, n BIGINT, first BIGINT, last BIGINT"
 # Messages a file holds and, about, a task reads.
 FILE_MESSAGES = 1_000_000
+# What a task holds of a file: buffered bytes a column, and decoded bytes a batch, about.
+_BUFFER_BYTES, _BATCH_BYTES = 1 << 20, 8 << 20
 # Offsets to read next, by topic and partition; a partition not named starts at 0.
 Offsets = dict[str, dict[str, int]]
 
@@ -79,8 +83,13 @@ class MessageLog:
             F.col("topic").cast("string"), F.col("partition").cast("int"),
             F.col("offset").cast("bigint"), F.col("value").cast("string"),
         )
-        rows.repartitionByRange(*place).sortWithinPartitions(*place).write.option(
-            "maxRecordsPerFile", self.file_messages
+        # Plain values in pages of about 1 MB, however long they are: what a reader holds.
+        rows.repartitionByRange(*place).sortWithinPartitions(*place).write.options(
+            **{
+                "maxRecordsPerFile": self.file_messages,
+                "parquet.enable.dictionary#value": "false",
+                "parquet.page.size.row.check.min": "1",
+            }
         ).parquet(folder)
         written = self.spark.read.schema(MESSAGE).parquet(folder)
         found = written.groupBy(
@@ -235,17 +244,41 @@ def later(one: Offsets, other: Offsets) -> Offsets:
 
 
 def _read(root: str, task: Pieces) -> Iterator[pa.RecordBatch]:
+    """Messages of the pieces, decoded page by page: a reader that takes whole row groups, or
+    some ahead, needs memory by the size of files."""
     filesystem, folder = _filesystem(root)
     columns = ["topic", "partition", "offset", "value"]
     for file, topic, partition, low, high in task.pieces:
-        wanted = (
-            (ds.field("topic") == topic) & (ds.field("partition") == partition)
-            & (ds.field("offset") >= low) & (ds.field("offset") < high)
-        )
-        data = ds.dataset(f"{folder}/{file}", filesystem=filesystem, format="parquet")
-        for batch in data.to_batches(columns=columns, filter=wanted, batch_size=8192):
-            if batch.num_rows:
-                yield batch
+        bounds = {"topic": (topic, topic), "partition": (partition, partition), "offset": (low, high - 1)}
+        with filesystem.open_input_file(f"{folder}/{file}") as f:
+            data = pq.ParquetFile(f, buffer_size=_BUFFER_BYTES)
+            for at in range(data.num_row_groups):
+                group = data.metadata.row_group(at)
+                if not _may_hold(group, bounds):
+                    continue
+                rows = max(1, min(8192, _BATCH_BYTES * group.num_rows // max(1, group.total_byte_size)))
+                for batch in data.iter_batches(rows, [at], columns, use_threads=False):
+                    held = batch.filter(_within(batch, bounds))
+                    if held.num_rows:
+                        yield held
+
+
+def _may_hold(group: pq.RowGroupMetaData, bounds: dict[str, tuple]) -> bool:
+    """Whether a row group's statistics leave room for rows within bounds, both included."""
+    for column in map(group.column, range(group.num_columns)):
+        if column.path_in_schema in bounds and column.is_stats_set and column.statistics.has_min_max:
+            low, high = bounds[column.path_in_schema]
+            if column.statistics.max < low or column.statistics.min > high:
+                return False
+    return True
+
+
+def _within(batch: pa.RecordBatch, bounds: dict[str, tuple]) -> pa.Array:
+    tests = [
+        pc.and_(pc.greater_equal(batch[name], low), pc.less_equal(batch[name], high))
+        for name, (low, high) in bounds.items()
+    ]
+    return reduce(pc.and_, tests)
 
 
 class _BatchReader(DataSourceReader):

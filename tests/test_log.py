@@ -1,8 +1,9 @@
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from rivulet.schemas import MESSAGE
-from rivulet.sources.log import MessageLog, read_log
+from rivulet.sources.log import MessageLog, Pieces, _read, read_log
 
 
 def rows(topic, partition, low, high):
@@ -111,3 +112,35 @@ def test_a_running_stream_takes_bounded_batches(spark, tmp_path):
     assert max(sizes) <= 10 and len(sizes) >= 7
     with pytest.raises(ValueError, match="anchor"):
         read_log(spark, f"{home}/log", streaming=True, per_trigger=10)
+
+
+@pytest.mark.parametrize("n, size, distinct", [(240_000, 1 << 10, True), (60, 1 << 20, True), (2_000, 32 << 10, False)])
+def test_a_task_holds_a_part_of_a_file(spark, tmp_path, n, size, distinct):
+    log = MessageLog(spark, str(tmp_path / "log"))
+    text = F.sha2((F.col("id") * int(distinct)).cast("string"), 256)
+    log.append(
+        spark.range(n).coalesce(1).select(
+            F.lit("a").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"),
+            F.repeat(text, size // 64).alias("value"),
+        )
+    )
+    pieces = [(s["file"], "a", 0, s["first"], s["last"] + 1) for s in log.segments().orderBy("first").collect()]
+    usual = pa.default_memory_pool()
+    counted = pa.proxy_memory_pool(usual)
+    pa.set_memory_pool(counted)
+    try:
+        offsets = [o for batch in _read(log.path, Pieces(pieces)) for o in batch["offset"].to_pylist()]
+    finally:
+        pa.set_memory_pool(usual)
+    assert offsets == list(range(n))
+    assert counted.max_memory() < 40 << 20
+
+
+def test_pieces_are_read_by_offset_whatever_the_row_groups(spark, tmp_path):
+    log = MessageLog(spark, str(tmp_path / "log"))
+    made = rows("a", 0, 0, 30) + rows("a", 1, 5, 9) + rows("b", 0, 3, 12)
+    log.append(frame(spark, made).coalesce(1))
+    for topic, partition, low, high in [("a", 0, 7, 22), ("a", 1, 0, 7), ("b", 0, 11, 99), ("b", 0, 12, 99), ("b", 1, 0, 9)]:
+        pieces = [(s["file"], topic, partition, low, high) for s in log.segments().dropDuplicates(["file"]).collect()]
+        found = [tuple(r.values()) for b in _read(log.path, Pieces(pieces)) for r in b.to_pylist()]
+        assert sorted(found) == [r for r in made if r[:2] == (topic, partition) and low <= r[2] < high]
