@@ -159,10 +159,11 @@ class BucketedTable:
     ) -> bool:
         """Replace the rows of `key_rows` (a frame of key columns) by `change(these rows)`;
         False when the batch is already in. `change` may return rows of these keys only."""
-        record = self.prepare(batch, key_rows, change)
-        if record is None:
+        states = self._write(batch, key_rows, change)
+        if states is None:
             return False
-        self.commit(record)
+        self.log.commit(*states)
+        self.log.expire()
         return True
 
     def commit(self, record: Record) -> None:
@@ -174,6 +175,13 @@ class BucketedTable:
     ) -> Record | None:
         """Write a batch's files and give the record that makes them current; None when the
         batch is already in. Without its record a batch leaves the table as it was."""
+        states = self._write(batch, key_rows, change)
+        return None if states is None else self.log.record(*states)
+
+    def _write(
+        self, batch: int, key_rows: DataFrame, change: Callable[[DataFrame], DataFrame]
+    ) -> tuple[State, State] | None:
+        """Write a batch's files and give the states before and after it."""
         before = self.log.state()
         if before.batch is not None and batch <= before.batch:
             return None
@@ -195,7 +203,7 @@ class BucketedTable:
             self._grow(before, state, rows.count())
             self._write_run(state, written)
         self._clean(before, state)
-        return self.log.record(before, state)
+        return before, state
 
     def _grow(self, before: State, state: State, more: int) -> None:
         """Rewrite the buckets that split, and those with many waiting changes."""
