@@ -10,7 +10,8 @@ left of the other unit meets the next.
 Units meet in blocks of about BLOCK units of one source, the longest first, so that the
 short ones are left; a block leaves one undecided unit at most. These meet in the next
 round, until a source has one left, which is drawn. A round shuffles only what the one
-before left undecided, and its decisions are final. Draws are hashes, so reruns agree.
+before left undecided, and its decisions are final. Units are counted once: later rounds
+go by the number of blocks before. Draws are hashes, so reruns agree.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import let, small, words
+from rivulet.llm.common import _SPACE, WORD, let, small
 from rivulet.util import stage
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -29,7 +30,9 @@ _DECIDED = "array<struct<uid:string,take:int>>"
 
 
 def word_count(text: Column) -> Column:
-    return F.size(words(text)).cast("long")
+    """Number of words; each becomes one character, so that no list of them is held."""
+    bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(_SPACE))
+    return F.length(F.regexp_replace(bare, rf"{WORD}[\x20\x09-\x0D]*", "x")).cast("long")
 
 
 def ranked(sources: DataFrame) -> DataFrame:
@@ -127,28 +130,28 @@ def pivotal(units: DataFrame, block: int = BLOCK) -> DataFrame:
     size * p differ by less than the size of one unit, the group's last.
     """
     current = stage(units.select("uid", "group", "size", "p"), "units")
+    counts = stage(current.groupBy("group").agg(F.count("*").alias("n")), "counts")
+    most = counts.agg(F.max("n")).first()[0] or 0
+    current = current.join(small(counts), "group")
     done, salt = None, 0
-    while True:
+    while most > 1:
         salt += 1
-        counts = stage(current.groupBy("group").agg(F.count("*").alias("n")), "counts")
-        most = counts.agg(F.max("n")).first()[0] or 0
-        if most <= 1:
-            drawn = current.select(
-                "uid", F.when(_draw(F.col("uid"), 0) < F.col("p"), 1).otherwise(0).alias("take")
-            )
-            return drawn if done is None else done.unionByName(drawn)
-        chunk = F.pmod(F.xxhash64("uid", F.lit(salt)), F.ceil(F.col("n") / block))
-        blocks = (
-            current.join(small(counts), "group")
-            .groupBy("group", chunk.alias("chunk"))
-            .agg(F.sort_array(F.collect_list(F.struct("size", "uid", "p")), asc=False).alias("units"))
+        n_blocks = F.ceil(F.col("n") / block)
+        chunk = F.pmod(F.xxhash64("uid", F.lit(salt)), n_blocks)
+        blocks = current.groupBy("group", n_blocks.alias("n"), chunk.alias("chunk")).agg(
+            F.sort_array(F.collect_list(F.struct("size", "uid", "p")), asc=False).alias("units")
         )
-        met = stage(blocks.select("group", _meet(F.col("units"), salt).alias("met")), "met")
+        met = stage(blocks.select("group", "n", _meet(F.col("units"), salt).alias("met")), "met")
         decided = met.select(F.explode("met.out").alias("d")).select("d.uid", "d.take")
         done = decided if done is None else done.unionByName(decided)
         current = met.where("met.uid is not null").select(
-            "met.uid", "group", "met.size", "met.p"
+            "met.uid", "group", "met.size", "met.p", "n"
         )
+        most = -(-most // block)
+    drawn = current.select(
+        "uid", F.when(_draw(F.col("uid"), 0) < F.col("p"), 1).otherwise(0).alias("take")
+    )
+    return drawn if done is None else done.unionByName(drawn)
 
 
 def copies(

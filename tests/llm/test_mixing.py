@@ -70,6 +70,29 @@ def test_pivotal_keeps_mass_and_expectation(spark):
     assert all(abs(r.m - r.p) < 0.06 for r in means)
 
 
+def test_units_are_counted_once(spark, monkeypatch):
+    names, stage = [], M.stage
+    monkeypatch.setattr(M, "stage", lambda df, name: names.append(name) or stage(df, name))
+    units = spark.range(300).select(
+        F.col("id").cast("string").alias("uid"), (F.col("id") % 2).alias("group"),
+        (1 + F.col("id") % 9).alias("size"), F.lit(0.4).alias("p"),
+    )
+    found = M.pivotal(units, block=4).join(units, "uid")
+    assert names == ["units", "counts", "met", "met", "met", "met"]
+    assert found.count() == found.select("uid").distinct().count() == 300
+    sums = found.groupBy("group").agg(F.sum(F.col("size") * (F.col("take") - F.col("p"))).alias("d"))
+    assert all(abs(r.d) < 9 for r in sums.collect())
+
+
+def test_words_are_counted_without_a_list_of_them(spark, capsys):
+    texts = [None, "", " \t\n\x0b\x0c\r", "a", " a\tb ", "\x1c\x85 \u00a0 é", "😀 😀😁", "$1 \\ x$", "a" * 9000 + " b" * 9000]
+    table = spark.createDataFrame([(t,) for t in texts], "text string")
+    counted = table.select("text", M.word_count(F.col("text")).alias("n"))
+    assert [(r.text, r.n) for r in counted.collect()] == [(t, len(words(t))) for t in texts]
+    counted.explain()
+    assert "split(" not in capsys.readouterr().out
+
+
 def test_mix_repeats_and_drops_rows(spark):
     table = rows()
     docs = awkward(spark, table)
